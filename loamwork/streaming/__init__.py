@@ -1,0 +1 @@
+"""The workloads covered by this library are batch only, so no streaming operator lives here."""
