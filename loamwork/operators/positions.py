@@ -12,6 +12,7 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from loamwork.functions.numeric import any_of
 from loamwork.workspace import cut_lineage, held
 
 
@@ -40,13 +41,8 @@ def keys_at(
             wanted.append((part, position - start + 1))
         place = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by))
         parts = sorted({part for part, _ in wanted})
-        spots = F.array(*[F.struct(F.lit(p), F.lit(n)) for p, n in sorted(set(wanted))])
-        found = (
-            ranged.filter(F.col("_range").isin(parts))
-            .withColumn("_place", place)
-            .filter(F.array_contains(spots, F.struct("_range", "_place")))
-            .collect()
-        )
+        at_spot = any_of([(F.col("_range") == p) & (F.col("_place") == n) for p, n in sorted(set(wanted))])
+        found = ranged.filter(F.col("_range").isin(parts)).withColumn("_place", place).filter(at_spot).collect()
     rows = {(r["_range"], r["_place"]): tuple(r[c] for c in order_by) for r in found}
     return [rows[spot] for spot in wanted]
 

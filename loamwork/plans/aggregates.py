@@ -132,7 +132,7 @@ def observed_totals(t):
     path = fresh_path(t.spark, "a15")
     aggregates.count_by(watched, "l_returnflag").write.parquet(path)
     counted = t.spark.read.parquet(path)
-    return counted.select("*", F.lit(seen.get["total"]).alias("total"), F.lit(seen.get["num"]).alias("num"))
+    return counted.select("*", F.lit(seen.get["total"]).alias("total"), F.lit(seen.get["num"]).cast("bigint").alias("num"))
 
 
 @query("a16_sum_of_squares", "SELECT sum((l_quantity - 25) * (l_quantity - 25)) AS total FROM lineitem")
