@@ -94,7 +94,7 @@ def sweep(
     larger_is_better: bool, parallelism: int = 4,
 ) -> Sweep:
     """Fit and evaluate every setting, several at a time. The callers' frames should be cached."""
-    run = inheritable_thread_target(
+    run = inheritable_thread_target(SparkSession.active())(
         lambda job: train_and_evaluate(train, evaluate, job[1], job[0])
     )
     pool = ThreadPool(min(parallelism, len(grid)))

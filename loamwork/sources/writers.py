@@ -25,7 +25,10 @@ def write_lines_once(df: DataFrame, path: str) -> bool:
 def write_delimited(
     df: DataFrame, path: str, sep: str = ",", header: bool = False, quote_all: bool = False
 ) -> None:
-    """Write delimited text that :func:`loamwork.sources.readers.read_delimited` reads back unchanged."""
+    """Write delimited text that :func:`loamwork.sources.readers.read_delimited` reads back unchanged.
+
+    Nulls and empty strings are both written as empty fields, which read back as null.
+    """
     (
         df.write.mode("errorifexists")
         .options(sep=sep, header=header, quoteAll=quote_all, quote='"', escape='"')
