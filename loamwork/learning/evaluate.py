@@ -39,14 +39,12 @@ def coverage_rmse(
 ) -> DataFrame:
     """Root of the squared error over predicted pairs divided by the number of all actual pairs.
 
-    Pairs without a prediction count in the divisor only.
+    ``predicted`` has one row per pair; pairs without a prediction count in the divisor only.
     """
     error = F.pow(F.col(prediction) - F.col(rating), 2)
-    joined = actual.select(*keys, rating).join(predicted.select(*keys, prediction), list(keys))
-    everything = actual.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return joined.agg(F.sum(error).alias("squares")).select(
-        F.sqrt(F.coalesce(F.col("squares"), F.lit(0.0)) / everything).alias("rmse")
-    )
+    joined = actual.select(*keys, rating).join(predicted.select(*keys, prediction), list(keys), "left")
+    squares = F.coalesce(F.sum(error), F.lit(0.0))
+    return joined.agg(F.sqrt(squares / F.count(F.lit(1))).alias("rmse"))
 
 
 def one_number(frame: DataFrame) -> float:

@@ -21,13 +21,14 @@ def profile(ratings: DataFrame, user: str = "user_id", item: str = "item_id") ->
 
 def with_int_ids(ratings: DataFrame, *columns: str) -> DataFrame:
     """Ids the factoriser accepts: cast when every value fits an int, else replaced by a dense index."""
+    whole = {name for name, kind in ratings.dtypes if kind in ("tinyint", "smallint", "int", "bigint")}
+    numbers = {c: F.col(c) if c in whole else F.col(c).try_cast("bigint") for c in columns}
     fits = ratings.agg(*[
-        F.min((F.coalesce(F.col(c).cast("string").try_cast("bigint"), F.lit(-1)).between(0, _INT_MAX)).cast("int"))
-        for c in columns
+        F.min(F.coalesce(n, F.lit(-1)).between(0, _INT_MAX).cast("int")) for n in numbers.values()
     ]).first()
     for column, ok in zip(columns, fits):
         if ok:
-            ratings = ratings.withColumn(column, F.col(column).cast("string").cast("int"))
+            ratings = ratings.withColumn(column, numbers[column].cast("int"))
         else:
             index = dense_index(ratings, column, "_idx").withColumnRenamed(column, "_key")
             ratings = (
@@ -48,7 +49,10 @@ def factoriser(rank: int = 5, iterations: int = 20, regularisation: float = 0.1,
 
 
 def train(ratings: DataFrame, **settings) -> ALSModel:
-    shared_dir(ratings.sparkSession)
+    """Fit the factoriser with at least as many blocks as the cluster runs tasks."""
+    spark = ratings.sparkSession
+    shared_dir(spark)
+    settings.setdefault("blocks", max(10, spark.sparkContext.defaultParallelism))
     with held(ratings):
         return factoriser(**settings).fit(ratings)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def union_all(*frames: DataFrame) -> DataFrame:
@@ -12,8 +12,10 @@ def union_all(*frames: DataFrame) -> DataFrame:
 
 
 def intersection(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows on both sides, once each. Copies are folded before the sides meet."""
-    return left.distinct().intersect(right.distinct())
+    """Rows on both sides, once each. One grouping over both sides folds copies before they are shuffled."""
+    sides = left.withColumn("_side", F.lit(1)).unionAll(right.withColumn("_side", F.lit(2)))
+    seen = sides.groupBy(*[F.col(f"`{c}`") for c in left.columns]).agg(F.bit_or("_side").alias("_seen"))
+    return seen.filter(F.col("_seen") == 3).drop("_seen")
 
 
 def subtract_values(left: DataFrame, right: DataFrame) -> DataFrame:

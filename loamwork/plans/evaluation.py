@@ -49,7 +49,7 @@ WITH {derived.RATINGS_SQL}, predicted AS (
 SELECT round(sqrt(sum(pow(prediction - rating, 2.0)) / (SELECT count(*) FROM ratings)), 6) AS rmse
 FROM ratings JOIN predicted USING (user_id, item_id)""")
 def coverage_rmse(t):
-    actual = derived.ratings(t)
+    actual = derived.stored_ratings(t)
     known = t.part.filter("p_type <> 'ECONOMY'").select(
         F.col("p_partkey").alias("item_id"), (F.col("p_size").cast("double") / 10).alias("prediction")
     )

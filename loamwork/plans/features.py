@@ -45,12 +45,17 @@ def assemble(t):
     return features.vector_rows(features.assembler(derived.NUMBERS).transform(docs), ["doc_id"])
 
 
-@query("m04_vector_index")
+@query("m04_vector_index", f"""
+WITH {derived.HOURLY_SQL}
+SELECT day_of_year, hr, 0 AS slot, CAST(dense_rank() OVER (ORDER BY hr) - 1 AS DOUBLE) AS value FROM hours UNION ALL
+SELECT day_of_year, hr, 1, CAST(dense_rank() OVER (ORDER BY weekday) - 1 AS DOUBLE) FROM hours UNION ALL
+SELECT day_of_year, hr, 2, round(mean_value, 6) FROM hours""")
 def vector_index(t):
     hours = derived.hours(t)
     stages = [features.assembler(derived.HOUR_FEATURES, "assembled"), features.category_slots(24)]
     model = _fitted(stages, hours)
-    return features.vector_rows(model.transform(hours), ["day_of_year", "hr"])
+    rows = features.vector_rows(model.transform(hours), ["day_of_year", "hr"])
+    return rows.withColumn("value", F.round("value", 6))
 
 
 @query("m05_standardise", f"""

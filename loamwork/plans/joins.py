@@ -104,7 +104,7 @@ predicted AS (SELECT user_id, item_id, CAST(1 + (user_id * 7 + item_id * 3) % 5
 SELECT p.user_id, p.item_id, p.prediction, round(r.rating, 6) AS rating
 FROM predicted p JOIN ratings r ON p.user_id = r.user_id AND p.item_id = r.item_id""")
 def composite_key(t):
-    actual = derived.ratings(t)
+    actual = derived.stored_ratings(t)
     predicted = actual.select(
         "user_id", "item_id", (1 + (F.col("user_id") * 7 + F.col("item_id") * 3) % 5).cast("double").alias("prediction")
     )

@@ -12,33 +12,34 @@ from loamwork.workspace import fresh_path
 
 
 def _ratings(t):
-    return recommend.with_int_ids(derived.ratings(t), "user_id", "item_id")
+    return recommend.with_int_ids(derived.stored_ratings(t), "user_id", "item_id")
 
 
-def _model(t, **settings):
-    return recommend.train(_ratings(t), **{"iterations": 10, **settings})
+def _model(ratings, iterations=10):
+    return recommend.train(ratings, iterations=iterations)
 
 
-def _most_active(t):
+def _most_active(ratings):
     """The user with the most ratings and the item with the most ratings; ties go to the smaller id."""
     found = []
     for column in ("user_id", "item_id"):
-        counts = derived.ratings(t).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+        counts = ratings.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
         found.append(counts.orderBy(F.desc("n"), column).first()[0])
     return found
 
 
 @query("t12_factors")
 def factors(t):
-    model = _model(t, iterations=20)
+    model = _model(_ratings(t), iterations=20)
     users = model.userFactors.select(F.lit("user").alias("side"), "id", "features")
     return users.unionAll(model.itemFactors.select(F.lit("item").alias("side"), "id", "features"))
 
 
 @query("v05_predict_one")
 def predict_one(t):
-    user, item = _most_active(t)
-    return recommend.predict_pairs(_model(t), t.spark.createDataFrame([(user, item)], "user_id int, item_id int"))
+    ratings = _ratings(t)
+    user, item = _most_active(ratings)
+    return recommend.predict_pairs(_model(ratings), t.spark.createDataFrame([(user, item)], "user_id int, item_id int"))
 
 
 @query("v06_predict_pairs")
@@ -50,30 +51,32 @@ def predict_pairs(t):
 
 @query("v07_top_items")
 def top_items(t):
-    return recommend.top_items(_model(t), 10)
+    return recommend.top_items(_model(_ratings(t)), 10)
 
 
 @query("v07_top_items_of_user")
 def top_items_of_user(t):
-    user, _ = _most_active(t)
-    return recommend.top_items(_model(t), 5, t.spark.createDataFrame([(user,)], "user_id int"))
+    ratings = _ratings(t)
+    user, _ = _most_active(ratings)
+    return recommend.top_items(_model(ratings), 5, t.spark.createDataFrame([(user,)], "user_id int"))
 
 
 @query("v08_top_users")
 def top_users(t):
-    return recommend.top_users(_model(t), 10)
+    return recommend.top_users(_model(_ratings(t)), 10)
 
 
 @query("v09_titled_items")
 def titled_items(t):
-    return recommend.with_titles(recommend.top_items(_model(t), 10), derived.titles(t))
+    return recommend.with_titles(recommend.top_items(_model(_ratings(t)), 10), derived.titles(t))
 
 
 @query("v10_serve_saved")
 def serve_saved(t):
     path = fresh_path(t.spark, "v10")
-    save_model(_model(t), path)
-    user, item = _most_active(t)
+    ratings = _ratings(t)
+    save_model(_model(ratings), path)
+    user, item = _most_active(ratings)
     items = recommend.serve(t.spark, path, "U", user, 5, derived.titles(t))
     users = recommend.serve(t.spark, path, "M", item, 5, derived.titles(t))
     return items.withColumn("direction", F.lit("U")).unionByName(users.withColumn("direction", F.lit("M")))

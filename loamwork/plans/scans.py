@@ -141,7 +141,7 @@ def model_sink(t):
 @query("s11_model_source")
 def model_source(t):
     path = fresh_path(t.spark, "s11")
-    data = recommend.with_int_ids(derived.ratings(t), "user_id", "item_id")
+    data = recommend.with_int_ids(derived.stored_ratings(t), "user_id", "item_id")
     models.save_model(recommend.train(data, iterations=5), path)
     loaded = models.load_model(ALSModel, path)
     scored = recommend.predict_pairs(loaded, data)

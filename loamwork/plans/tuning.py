@@ -74,6 +74,41 @@ def axis_sweep_bayes(t):
     return _sweep_documents(t, estimators.naive_bayes(), grid, "deviation").table(t.spark, "auc")
 
 
+_SMOOTHINGS = ", ".join(f"({i}, {value})" for i, value in enumerate(tune.BAYES_AXES["smoothing"]))
+
+
+@query("g02d_bayes_metric_by_smoothing", f"""
+WITH {derived.BINARY_SQL},
+parted AS (SELECT *, ('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % 10 AS bucket FROM pages_in),
+numbers AS (
+  SELECT doc_id, bucket, label, 0 AS slot, n_chars AS value FROM parted UNION ALL
+  SELECT doc_id, bucket, label, 1, n_spaces FROM parted UNION ALL SELECT doc_id, bucket, label, 2, n_lines FROM parted),
+train AS (SELECT * FROM numbers WHERE bucket < 8),
+grid(grid_position, smoothing) AS (VALUES {_SMOOTHINGS}),
+sums AS (SELECT label AS class, slot, sum(value) AS s FROM train GROUP BY label, slot),
+totals AS (SELECT class, sum(s) AS total FROM sums GROUP BY class),
+classes AS (SELECT label AS class, count(DISTINCT doc_id) AS n FROM train GROUP BY label),
+weights AS (
+  SELECT grid_position, class, slot, ln(s + smoothing) - ln(total + 3 * smoothing) AS theta,
+         ln(n + smoothing) - ln((SELECT sum(n) FROM classes) + smoothing * (SELECT count(*) FROM classes)) AS prior
+  FROM sums JOIN totals USING (class) JOIN classes USING (class), grid),
+scores AS (
+  SELECT grid_position, doc_id, label, class, max(prior) + sum(theta * value) AS score
+  FROM numbers JOIN weights USING (slot) WHERE bucket = 8 GROUP BY grid_position, doc_id, label, class),
+called AS (SELECT grid_position, doc_id, label, arg_max(class, score) AS prediction FROM scores GROUP BY grid_position, doc_id, label)
+SELECT CAST(grid_position AS INTEGER) AS grid_position,
+       round(coalesce((1 + avg(prediction) FILTER (label = 1) - avg(prediction) FILTER (label = 0)) / 2, 0.5), 6) AS auc
+FROM called GROUP BY grid_position""")
+def bayes_metric_by_smoothing(t):
+    stage = features.assembler(derived.NUMBERS)
+    rows = {n: stage.transform(p) for n, p in derived.document_splits(t).items()}
+    grid = tune.one_axis("smoothing", tune.BAYES_AXES["smoothing"])
+    done = tune.sweep_estimator(
+        estimators.naive_bayes(), rows["train"], rows["validation"], _auc, grid, larger_is_better=True
+    )
+    return done.table(t.spark, "auc").select("grid_position", F.round("auc", 6).alias("auc"))
+
+
 @query("g02e_axis_sweep_factors")
 def axis_sweep_factors(t):
     parts = derived.rating_splits(t)
