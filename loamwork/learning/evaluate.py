@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, functions as F
 
 
-def hard_label_auc(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Area under ROC when the 0/1 prediction itself is the score: one interior point, one aggregate."""
+def hard_label_auc(
+    scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    """Area under ROC when the 0/1 prediction itself is the score: one interior point, one aggregate.
+
+    This and the other frame metrics give one row, or one per group of ``by``, such as the split a row is in.
+    """
     positive, called = F.col(label) > 0.5, F.col(prediction) > 0.5
-    rates = scored.agg(
+    rates = scored.groupBy(*by).agg(
         F.avg(F.when(positive, called.cast("double"))).alias("tpr"),
         F.avg(F.when(~positive, called.cast("double"))).alias("fpr"),
     )
-    return rates.select(((1 + F.col("tpr") - F.col("fpr")) / 2).alias("auc"))
+    return rates.select(*by, ((1 + F.col("tpr") - F.col("fpr")) / 2).alias("auc"))
 
 
 def score_auc(scored: DataFrame, label: str = "label", score: str = "rawPrediction") -> float:
@@ -25,12 +30,16 @@ def score_auc(scored: DataFrame, label: str = "label", score: str = "rawPredicti
     ).evaluate(scored)
 
 
-def accuracy(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return scored.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
+def accuracy(
+    scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    return scored.groupBy(*by).agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
 
 
-def rmse(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return scored.agg(F.sqrt(F.avg(F.pow(F.col(prediction) - F.col(label), 2))).alias("rmse"))
+def rmse(
+    scored: DataFrame, label: str = "label", prediction: str = "prediction", by: Sequence[str] = ()
+) -> DataFrame:
+    return scored.groupBy(*by).agg(F.sqrt(F.avg(F.pow(F.col(prediction) - F.col(label), 2))).alias("rmse"))
 
 
 def coverage_rmse(
@@ -50,14 +59,3 @@ def coverage_rmse(
 def one_number(frame: DataFrame) -> float:
     """The only cell of a metric frame."""
     return float(frame.first()[0])
-
-
-def by_split(
-    frames: Mapping[str, DataFrame], metric: Callable[[DataFrame], DataFrame], name: str
-) -> DataFrame:
-    """(split, metric) of one scored model on several splits, to compare training with held-out rows."""
-    parts = [metric(f).select(F.lit(s).alias("split"), F.col(name)) for s, f in frames.items()]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionAll(part)
-    return whole

@@ -16,9 +16,13 @@ from loamwork.functions.numeric import any_of
 from loamwork.workspace import cut_lineage, held
 
 
-def _in_ranges(df: DataFrame, order_by: Sequence[str], partitions: int | None) -> DataFrame:
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(count, *[F.col(c) for c in order_by])
+# Rows of one range, at most on average: a range is sorted by a single task.
+_RANGE_ROWS = 4_000_000
+
+
+def _in_ranges(df: DataFrame, order_by: Sequence[str], rows: int) -> DataFrame:
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(max(usual, -(-rows // _RANGE_ROWS)), *[F.col(c) for c in order_by])
     return ranged.withColumn("_range", F.spark_partition_id())
 
 
@@ -29,10 +33,10 @@ def _range_starts(ranged: DataFrame) -> list[tuple[int, int]]:
 
 
 def keys_at(
-    df: DataFrame, order_by: Sequence[str], positions: Sequence[int], partitions: int | None = None
+    df: DataFrame, order_by: Sequence[str], positions: Sequence[int], rows: int
 ) -> list[tuple]:
-    """Order keys of the rows at zero-based global positions. Shuffles the key columns only."""
-    with held(_in_ranges(df.select(*order_by), order_by, partitions)) as ranged:
+    """Order keys at zero-based global positions of a frame of ``rows`` rows. Shuffles the key columns only."""
+    with held(_in_ranges(df.select(*order_by), order_by, rows)) as ranged:
         starts = _range_starts(ranged)
         firsts = [start for _, start in starts]
         wanted = []
@@ -43,19 +47,17 @@ def keys_at(
         parts = sorted({part for part, _ in wanted})
         at_spot = any_of([(F.col("_range") == p) & (F.col("_place") == n) for p, n in sorted(set(wanted))])
         found = ranged.filter(F.col("_range").isin(parts)).withColumn("_place", place).filter(at_spot).collect()
-    rows = {(r["_range"], r["_place"]): tuple(r[c] for c in order_by) for r in found}
-    return [rows[spot] for spot in wanted]
+    keys = {(r["_range"], r["_place"]): tuple(r[c] for c in order_by) for r in found}
+    return [keys[spot] for spot in wanted]
 
 
-def number_rows(
-    df: DataFrame, order_by: Sequence[str], name: str, partitions: int | None = None
-) -> DataFrame:
+def number_rows(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """Add the zero-based global position of every row.
 
     The order key should identify a row. The ranged rows are checkpointed, since the shifts are only valid for
     the ranges they were counted on.
     """
-    ranged = cut_lineage(_in_ranges(df, order_by, partitions))
+    ranged = cut_lineage(_in_ranges(df, order_by, df.count()))
     starts = df.sparkSession.createDataFrame(_range_starts(ranged), "_range int, _start bigint")
     place = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by))
     return (
@@ -68,4 +70,4 @@ def number_rows(
 
 def dense_index(df: DataFrame, column: str, name: str = "idx") -> DataFrame:
     """(value, index) over the distinct values, numbered from 0 in ascending order."""
-    return number_rows(df.select(column).distinct(), [column], name)
+    return number_rows(cut_lineage(df.select(column).distinct()), [column], name)

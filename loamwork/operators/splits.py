@@ -33,7 +33,11 @@ def split_frames(df: DataFrame, key: Column, weights: Mapping[str, int]) -> dict
 
 
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
-    """Seeded random split; weights are normalised and sizes are approximate."""
+    """Seeded random split; weights are normalised and sizes are approximate.
+
+    The same rows in the same partitions give the same split: pass a table or a cached frame, or prefer
+    :func:`hash_split`, which depends on the key alone.
+    """
     return df.randomSplit(list(map(float, weights)), seed)
 
 
@@ -58,8 +62,9 @@ def leave_range_out(
         F.min(row_key).alias("_first"), F.max(row_key).alias("_last")
     )
     chosen = row_key.between(F.col("_first"), F.col("_last"))
-    if 0 < max_test < test.count():
-        cut = keys_at(test, order_by, [max_test - 1])[0]
+    found = test.count() if max_test > 0 else 0
+    if 0 < max_test < found:
+        cut = keys_at(test, order_by, [max_test - 1], found)[0]
         last_kept = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order_by, cut)])
         chosen = chosen & (row_key <= last_kept)
     named = F.when(F.coalesce(chosen, F.lit(False)), F.lit("test")).otherwise(F.lit("base"))
@@ -85,7 +90,7 @@ def contiguous_folds(
     row_key = F.struct(*[F.col(c) for c in order_by])
     fold = F.lit(0)
     if firsts:
-        for number, key in enumerate(keys_at(df, order_by, firsts), start=1):
+        for number, key in enumerate(keys_at(df, order_by, firsts, total), start=1):
             edge = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order_by, key)])
             fold = F.when(row_key >= edge, F.lit(number)).otherwise(fold)
     return df.withColumn(name, fold.cast("bigint"))

@@ -45,13 +45,17 @@ def ratings(t: Tables) -> DataFrame:
     )
 
 
-def stored_ratings(t: Tables) -> DataFrame:
-    """The ratings written once to the shared folder, for queries that read them several times."""
-    path = fresh_path(t.spark, "ratings")
-    ratings(t).write.parquet(path)
+def stored(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    """A narrow frame written once to the shared folder, for queries that read it several times."""
+    path = fresh_path(t.spark, name)
+    df.write.parquet(path)
     return t.spark.read.parquet(path)
 
 
+def stored_ratings(t: Tables) -> DataFrame:
+    return stored(t, ratings(t), "ratings")
+
+
 def titles(t: Tables) -> DataFrame:
     return t.part.select(F.col("p_partkey").cast("int").alias("item_id"), F.col("p_name").alias("title"))
 
@@ -115,7 +119,8 @@ def scored_lines(t: Tables) -> DataFrame:
 
 
 def document_splits(t: Tables) -> dict[str, DataFrame]:
-    return split_frames(labelled_documents(t), F.col("doc_id"), {"train": 8, "validation": 1, "test": 1})
+    documents = stored(t, labelled_documents(t), "documents")
+    return split_frames(documents, F.col("doc_id"), {"train": 8, "validation": 1, "test": 1})
 
 
 def vector_splits(t: Tables) -> dict[str, DataFrame]:
@@ -124,7 +129,7 @@ def vector_splits(t: Tables) -> dict[str, DataFrame]:
 
 def hour_splits(t: Tables) -> dict[str, DataFrame]:
     row = F.concat_ws(":", F.col("day_of_year").cast("string"), F.col("hr").cast("string"))
-    return split_frames(hours(t), row, {"train": 7, "test": 3})
+    return split_frames(stored(t, hours(t), "hours"), row, {"train": 7, "test": 3})
 
 
 def rating_splits(t: Tables) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from loamwork.learning import estimators, evaluate, features
+from loamwork.operators.splits import hash_split
 from loamwork.plans import derived
 from loamwork.plans.registry import query
 from loamwork.workspace import held
@@ -62,15 +63,15 @@ WITH {derived.LINES_SQL}, p AS (SELECT CASE WHEN l_linestatus = 'F' THEN 'train'
 SELECT split, round((1 + avg(prediction) FILTER (label = 1) - avg(prediction) FILTER (label = 0)) / 2, 6) AS auc FROM p GROUP BY split""")
 def by_split(t):
     scored = derived.scored_lines(t).withColumn("prediction", (F.col("score") > 0.7).cast("double"))
-    frames = {"train": scored.filter("l_linestatus = 'F'"), "test": scored.filter("l_linestatus <> 'F'")}
-    return evaluate.by_split(frames, evaluate.hard_label_auc, "auc").withColumn("auc", F.round("auc", 6))
+    named = scored.withColumn("split", F.when(F.col("l_linestatus") == "F", "train").otherwise("test"))
+    return evaluate.hard_label_auc(named, by=["split"]).withColumn("auc", F.round("auc", 6))
 
 
 @query("e06_model_by_split")
 def model_by_split(t):
-    parts = derived.document_splits(t)
+    split = hash_split(F.col("doc_id"), {"train": 8, "validation": 1, "test": 1})
+    documents = derived.stored(t, derived.labelled_documents(t).withColumn("split", split), "documents")
     stages = [*features.mixed_features(["lang"], derived.NUMBERS), estimators.tree_classifier()]
-    with held(parts["train"]) as train:
+    with held(documents.filter("split = 'train'")) as train:
         model = Pipeline(stages=stages).fit(train)
-    scored = {name: model.transform(part) for name, part in parts.items()}
-    return evaluate.by_split(scored, evaluate.hard_label_auc, "auc")
+    return evaluate.hard_label_auc(model.transform(documents), by=["split"])
