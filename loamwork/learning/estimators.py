@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 SEED = 42
 
-# Deep trees split more nodes per pass over the rows, and keep each row's node instead of walking the tree.
-_DEEP = {"cacheNodeIds": True, "maxMemoryInMB": 1024}
+
+def _growth(depth: int) -> dict:
+    """More nodes per pass over the rows; deep trees also keep each row's node instead of walking the tree."""
+    return {"maxMemoryInMB": 1024, "cacheNodeIds": depth > 15}
+
 
 # Fixed values: (impurity, maxDepth, maxBins) of the default runs.
 BINARY_TREE = ("entropy", 10, 200)
@@ -26,13 +29,15 @@ REGRESSION_TREE = ("variance", 10, 100)
 def tree_classifier(impurity: str = BINARY_TREE[0], depth: int = BINARY_TREE[1], bins: int = BINARY_TREE[2],
                     label: str = "label") -> DecisionTreeClassifier:
     return DecisionTreeClassifier(
-        labelCol=label, impurity=impurity, maxDepth=depth, maxBins=bins, seed=SEED, **_DEEP
+        labelCol=label, impurity=impurity, maxDepth=depth, maxBins=bins, seed=SEED, **_growth(depth)
     )
 
 
 def tree_regressor(depth: int = REGRESSION_TREE[1], bins: int = REGRESSION_TREE[2],
                    label: str = "label") -> DecisionTreeRegressor:
-    return DecisionTreeRegressor(labelCol=label, maxDepth=depth, maxBins=bins, seed=SEED, **_DEEP)
+    return DecisionTreeRegressor(
+        labelCol=label, maxDepth=depth, maxBins=bins, seed=SEED, **_growth(depth)
+    )
 
 
 def forest_classifier(trees: int = 10, label: str = "label", **settings) -> RandomForestClassifier:

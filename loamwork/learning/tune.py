@@ -14,7 +14,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import DataFrame, SparkSession
 
 from loamwork.learning.estimators import SEED
-from loamwork.workspace import held
+from loamwork.workspace import held, spread
 
 # The value lists of the classic sweeps.
 TREE_AXES = {"impurity": ["gini", "entropy"], "maxDepth": [3, 5, 10, 15, 20, 25], "maxBins": [3, 5, 10, 50, 100, 200]}
@@ -110,9 +110,9 @@ def sweep_estimator(
     grid: Sequence[Mapping], larger_is_better: bool, parallelism: int = 4,
 ) -> Sweep:
     """Sweep a Spark ML estimator over settings, scoring each model on the validation rows."""
-    with held(train, validation):
+    with spread(train) as rows, held(validation):
         return sweep(
-            lambda **settings: estimator.copy({estimator.getParam(k): v for k, v in settings.items()}).fit(train),
+            lambda **settings: estimator.copy({estimator.getParam(k): v for k, v in settings.items()}).fit(rows),
             lambda model: score(model.transform(validation)),
             grid, larger_is_better, parallelism,
         )

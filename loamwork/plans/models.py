@@ -15,12 +15,12 @@ from loamwork.learning import estimators, features, scoring
 from loamwork.operators.splits import split_frames
 from loamwork.plans import derived
 from loamwork.plans.registry import query
-from loamwork.workspace import held
+from loamwork.workspace import spread
 
 
 def _fit(train, *stages):
-    with held(train):
-        return Pipeline(stages=list(stages)).fit(train)
+    with spread(train) as rows:
+        return Pipeline(stages=list(stages)).fit(rows)
 
 
 def _documents(t, estimator, scale=None):
@@ -42,7 +42,7 @@ def _lines(t, estimator):
 
 def _vectors(t, estimator):
     parts = derived.vector_splits(t)
-    with held(parts["train"]) as train:
+    with spread(parts["train"]) as train:
         model = estimator.fit(train)
     return model.transform(parts["test"]).select("vec_id", "label", "prediction")
 
@@ -115,7 +115,7 @@ def linear_svm(t):
 def _sgd(t, train):
     docs = derived.document_splits(t)
     stages = _fit(docs["train"], *features.mixed_features(["lang"], derived.NUMBERS, "standard"))
-    with held(stages.transform(docs["train"]).select("label", "features")) as rows:
+    with spread(stages.transform(docs["train"]).select("label", "features")) as rows:
         model = train(rows)
     held_out = docs["test"].unionAll(docs["validation"])
     return estimators.sgd_predict(model, stages.transform(held_out)).select("doc_id", "label", "prediction")
@@ -144,7 +144,7 @@ SELECT label, CAST(slot AS INTEGER) AS slot, round(ln(s + 60.0) - ln(total + 60.
 FROM sums JOIN totals USING (label) JOIN classes USING (label)""")
 def naive_bayes(t):
     docs = features.assembler(derived.NUMBERS).transform(derived.labelled_documents(t))
-    with held(docs.select("label", "features")) as rows:
+    with spread(docs.select("label", "features")) as rows:
         model = estimators.naive_bayes(60.0).fit(rows)
     weights = [
         (float(c), slot, float(model.theta[c, slot]), float(model.pi[c]))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loamwork.learning import estimators, evaluate, features, recommend, tune
 from loamwork.plans import derived
 from loamwork.plans.registry import query
-from loamwork.workspace import held
+from loamwork.workspace import held, spread
 
 
 def _document_features(t, scale=None):
@@ -47,7 +47,7 @@ def axis_sweep_tree(t):
 
 def _sweep_sgd(t, train, grid):
     rows = _document_features(t, "standard")
-    with held(rows["train"], rows["validation"]) as (training, validation):
+    with spread(rows["train"]) as training, held(rows["validation"]) as validation:
         done = tune.sweep(
             lambda **settings: train(training, **settings),
             lambda model: _auc(estimators.sgd_predict(model, validation)),
@@ -140,7 +140,7 @@ def parameter_grid(t):
     tree = estimators.tree_regressor(label="cnt")
     grid = tune.param_grid(tree, maxDepth=[3, 5], maxBins=[25, 35])
     stages = Pipeline(stages=[features.assembler(derived.HOUR_FEATURES)])
-    with held(stages.fit(parts["train"]).transform(parts["train"])) as rows:
+    with spread(stages.fit(parts["train"]).transform(parts["train"])) as rows:
         fitted = [tree.fit(rows, params) for params in grid]
     settings = [
         (i, *[int(m.getOrDefault(n)) for n in ("maxDepth", "maxBins")], int(m.depth), int(m.numNodes))
@@ -158,7 +158,7 @@ def holdout_binary(t):
     tree = estimators.tree_classifier("gini")
     grid = tune.param_grid(tree, impurity=["gini", "entropy"], maxDepth=[5, 10])
     tuner = tune.holdout_tuner(features.mixed_features(["lang"], derived.NUMBERS), tree, _binary(), grid)
-    with held(derived.document_splits(t)["train"]) as train:
+    with spread(derived.document_splits(t)["train"]) as train:
         return tune.tuning_table(t.spark, tuner.fit(train).stages[-1])
 
 
@@ -167,7 +167,7 @@ def holdout_multiclass(t):
     tree = estimators.tree_classifier("gini")
     grid = tune.param_grid(tree, maxDepth=[5, 10], maxBins=[30])
     tuner = tune.holdout_tuner([], tree, MulticlassClassificationEvaluator(metricName="accuracy"), grid)
-    with held(derived.vector_splits(t)["train"]) as train:
+    with spread(derived.vector_splits(t)["train"]) as train:
         return tune.tuning_table(t.spark, tuner.fit(train).stages[-1])
 
 
@@ -177,7 +177,7 @@ def folds_regression(t):
     grid = tune.param_grid(tree, maxDepth=[3, 5], maxBins=[25, 35])
     stages = [features.assembler(derived.HOUR_FEATURES, "assembled"), features.category_slots(24)]
     tuner = tune.fold_tuner(stages, tree, RegressionEvaluator(labelCol="cnt", metricName="rmse"), grid)
-    with held(derived.hour_splits(t)["train"]) as train:
+    with spread(derived.hour_splits(t)["train"]) as train:
         return tune.tuning_table(t.spark, tuner.fit(train).stages[-1])
 
 
@@ -187,7 +187,7 @@ def folds_boosted(t):
     grid = tune.param_grid(boosted, maxIter=[3, 5])
     stages = [features.assembler(derived.HOUR_FEATURES, "assembled"), features.category_slots(24)]
     tuner = tune.fold_tuner(stages, boosted, RegressionEvaluator(labelCol="cnt", metricName="rmse"), grid)
-    with held(derived.hour_splits(t)["train"]) as train:
+    with spread(derived.hour_splits(t)["train"]) as train:
         return tune.tuning_table(t.spark, tuner.fit(train).stages[-1])
 
 

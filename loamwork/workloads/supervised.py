@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from loamwork.functions.numeric import clamp_negative
 from loamwork.learning import estimators, evaluate, features
 from loamwork.learning.tune import Sweep, sweep
-from loamwork.workspace import held
+from loamwork.workspace import held, spread
 
 
 @dataclass(frozen=True)
@@ -108,7 +108,7 @@ def fit(task: Task, family: str, train: DataFrame, **settings) -> Fitted:
     kind = FAMILIES[family]
     with held(train):
         stages = _fit_stages(task, kind, train)
-        with held(_points(task, kind, stages, train)) as points:
+        with spread(_points(task, kind, stages, train)) as points:
             return Fitted(task, kind, stages, kind.train(points, **settings))
 
 
@@ -118,7 +118,8 @@ def tune(
     """Try every setting, judged on the validation rows; features are fitted once, on the training rows."""
     kind = FAMILIES[family]
     stages = _fit_stages(task, kind, train)
-    with held(*[_points(task, kind, stages, rows) for rows in (train, validation)]) as (points, unseen):
+    seen, unseen = [_points(task, kind, stages, rows) for rows in (train, validation)]
+    with spread(seen) as points, held(unseen):
         def judge(model) -> float:
             if hasattr(model, "transform"):
                 return task.metric(model.transform(unseen), "label")

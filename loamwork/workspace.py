@@ -47,3 +47,18 @@ def held(*frames: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
     finally:
         for frame in frames:
             frame.unpersist()
+
+
+@contextmanager
+def spread(df: DataFrame):
+    """A cached frame with at least one partition per task slot, for learners that pass over it many times.
+
+    A frame that already has enough partitions is cached as it is.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    with held(df):
+        if df.rdd.getNumPartitions() >= slots:
+            yield df
+        else:
+            with held(df.repartition(slots)) as wider:
+                yield wider

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loamwork.learning import estimators
 from loamwork.sources import catalog, models, readers, schemas, writers
-from loamwork.workspace import cut_lineage, fresh_path, held
+from loamwork.workspace import cut_lineage, fresh_path, held, spread
 
 
 def put(path, text):
@@ -124,3 +124,13 @@ def test_held_frames_are_released_after_a_failure(spark):
 def test_lineage_cut_keeps_rows(spark):
     df = spark.range(100).filter(F.col("id") % 3 == 0)
     assert sorted(r.id for r in cut_lineage(df).collect()) == list(range(0, 100, 3))
+
+
+def test_spread_widens_only_narrow_frames(spark):
+    narrow, wide = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 32)
+    with spread(narrow) as rows:
+        assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        assert sorted(r.id for r in rows.collect()) == list(range(100))
+    with spread(wide) as rows:
+        assert rows is wide
+    assert not narrow.is_cached and not wide.is_cached
