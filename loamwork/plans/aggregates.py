@@ -8,6 +8,7 @@ from loamwork.learning import recommend
 from loamwork.operators import aggregates, joins, reports
 from loamwork.plans import derived
 from loamwork.plans.registry import query
+from loamwork.sources.catalog import Tables
 from loamwork.workspace import fresh_path
 
 
@@ -126,9 +127,13 @@ def running_totals(t):
 
 @query("a15_observed_totals", "SELECT l_returnflag, count(*) AS n, (SELECT sum(l_quantity) FROM lineitem) AS total, (SELECT count(*) FROM lineitem) AS num FROM lineitem GROUP BY l_returnflag")
 def observed_totals(t):
-    """Counters that ride along with another job over the same rows."""
-    seen = Observation("totals")
-    watched = t.lineitem.observe(seen, F.sum("l_quantity").alias("total"), F.count(F.lit(1)).alias("num"))
+    """Counters that ride along with another job over the same rows.
+
+    The job runs in a session of its own: once a session has observed anything it cannot be serialised, and
+    some fitted classifiers carry their session along when they score.
+    """
+    seen, lines = Observation("totals"), Tables(t.spark.newSession(), t.folder).lineitem
+    watched = lines.observe(seen, F.sum("l_quantity").alias("total"), F.count(F.lit(1)).alias("num"))
     path = fresh_path(t.spark, "a15")
     aggregates.count_by(watched, "l_returnflag").write.parquet(path)
     counted = t.spark.read.parquet(path)
