@@ -39,7 +39,7 @@ def partitions(spark: SparkSession) -> int:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: computed once, and safe when executors are lost."""
     path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -58,20 +58,28 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(lowered(text), BLANKS), "")
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once; a plain column would be computed anew wherever a lambda names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def shingles(word_hashes: Column, width: int = 5) -> Column:
     """Hashes of all runs of ``width`` words, repeats included; of the whole sequence when it is shorter; empty if empty.
 
     Takes an array of word hashes. Text differs from text with a chance of error of 2**-64 a pair of shingles.
     """
-    n = F.size(word_hashes)
-    runs = F.transform(
-        F.sequence(F.lit(1), n - width + 1), lambda i: F.xxhash64(*[F.element_at(word_hashes, i + k) for k in range(width)])
-    )
-    return (
-        F.when(n == 0, F.array().cast("array<bigint>"))
-        .when(n < width, F.array(F.xxhash64(word_hashes)))
-        .otherwise(runs)
-    )
+
+    def runs(hashes: Column) -> Column:
+        n = F.size(hashes)
+        return (
+            F.when(n == 0, F.array().cast("array<bigint>"))
+            .when(n < width, F.array(F.xxhash64(hashes)))
+            .otherwise(F.transform(
+                F.sequence(F.lit(1), n - width + 1), lambda i: F.xxhash64(*[F.element_at(hashes, i + k) for k in range(width)])
+            ))
+        )
+
+    return bound(word_hashes, runs)
 
 
 def word_hashes(text: Column) -> Column:
