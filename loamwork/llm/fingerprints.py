@@ -9,10 +9,11 @@ Null and empty texts have an empty sketch; two empty sketches resemble each othe
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from math import ceil, sqrt
 
-from loamwork.llm.common import bound, query, shingles, stored, table, word_hashes
-from loamwork.operators.positions import number_rows
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from loamwork.llm.common import bound, partitions, query, shingles, table, word_hashes
 
 _PART_WORDS = 16_384
 
@@ -75,26 +76,53 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
+def _buckets(ids: DataFrame, wanted: int) -> Column:
+    """Number of the id range that ``k`` falls in, of up to ``wanted`` ranges of about equal size, at most 10,000.
+
+    The edges are quantiles, found by one aggregation. They are searched in two steps, so a row compares with about twice
+    the square root of their number.
+    """
+    n = min(max(wanted, 1), 10_000)
+    found = ids.select(F.percentile_approx("k", [(i + 0.5) / n for i in range(n)], 10 * n).alias("q")).first()["q"]
+    edges = sorted(set(found or []))
+    if not edges:
+        return F.lit(0)
+    width = ceil(sqrt(len(edges)))
+    chunks = [edges[i:i + width] for i in range(0, len(edges), width)]
+
+    def at_most(values: Column) -> Column:
+        return F.size(F.filter(values, lambda e: e <= F.col("k")))
+
+    coarse = at_most(F.array(*[F.lit(c[0]) for c in chunks]))
+    fine = at_most(F.element_at(F.array(*[F.array(*map(F.lit, c)) for c in chunks]), F.greatest(coarse, F.lit(1))))
+    return coarse * 100_000 + fine
+
+
 def edited_neighbours(docs: DataFrame) -> DataFrame:
     """(doc_id, text, next_text, edited): the last third of each text replaced from the next document.
 
-    Next is by descending doc_id, null last, equal ids in any fixed order; after the last comes the first. Only ids are
-    ordered; a text then moves to its row once and the part that is copied from it once.
+    Next is by descending doc_id, null last, equal ids by a hash of their text; after the last comes the first. Texts are
+    shuffled once, into ranges of ids. The first row of each range also goes, as an extra row, to the end of the range
+    before it, so that every row finds its next one in its own range.
     """
-    rows = stored(
-        docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("row_no", F.monotonically_increasing_id()), "fingerprint-rows"
-    )
-    ids = rows.select("row_no", (-F.coalesce("doc_id", F.lit(-(2**62)))).alias("down"), F.length("text").alias("n_chars"))
-    placed = stored(number_rows(ids, ["down", "row_no"], "place"), "fingerprint-places")
-    total = placed.count()
-    before = placed.select(F.col("row_no").alias("into"), F.pmod(F.col("place") + 1, F.lit(max(total, 1))).alias("place"), F.col("n_chars").alias("into_chars"))
-    copied = placed.select("row_no", "place").join(before, "place").join(rows.select("row_no", "text"), "row_no").select(
-        "into", F.col("text").alias("next_text"), F.floor(F.col("into_chars") / 3).alias("third")
-    )
-    edited = F.concat(
-        F.substring("text", F.lit(1), (F.length("text") - F.col("third")).cast("int")), F.substring("next_text", F.lit(1), F.col("third").cast("int"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("k"), F.xxhash64(text).alias("tie"))
+    rows = rows.withColumn("bucket", _buckets(rows, 4 * partitions(docs.sparkSession)))
+    top = rows.groupBy("bucket").agg(F.max(F.struct("k", "tie")).alias("top")).select("bucket", "top.k", "top.tie")
+    # At most one row per range, 10,000 in all.
+    heads = rows.join(F.broadcast(top), ["bucket", "k", "tie"]).groupBy("bucket").agg(F.min("text").alias("text"))
+    before = F.lag("bucket").over(Window.orderBy(F.desc("bucket")))
+    last = F.min("bucket").over(Window.partitionBy())
+    copies = heads.select(
+        F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", F.lit(None).cast("bigint").alias("k"),
+        F.lit(None).cast("bigint").alias("tie"), F.coalesce(before, last).alias("bucket"), F.lit(True).alias("copied"),
     )
-    return rows.join(copied, rows["row_no"] == copied["into"]).select("doc_id", "text", "next_text", edited.alias("edited"))
+    ordered = Window.partitionBy("bucket").orderBy("copied", F.desc("k"), F.desc("tie"))
+    both = rows.withColumn("copied", F.lit(False)).unionByName(copies)
+    paired = both.withColumn("next_text", F.lead("text").over(ordered)).where(~F.col("copied"))
+    third = F.floor(F.length("text") / 3).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), F.length("text") - third), F.substring("next_text", F.lit(1), third))
+    return paired.select("doc_id", "text", "next_text", edited.alias("edited"))
 
 
 @query("op7_fingerprints")
