@@ -1,4 +1,4 @@
 """The queries of this subpackage and their SQL; importing a module registers its query."""
 
-from loamwork.llm import fingerprints, html, jaccard, language, lines, mixing, urls, warc  # noqa: F401
+from loamwork.llm import fingerprints, html, jaccard, language, lines, mixing, toxicity, urls, warc  # noqa: F401
 from loamwork.llm.common import ORACLES, QUERIES  # noqa: F401
