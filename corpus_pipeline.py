@@ -1,10 +1,60 @@
-"""A cleaning pipeline over documents. STAGES is filled as its operators are built."""
+"""A cleaning pipeline over ``documents``: toxic documents, shared lines, near copies and benchmark leaks go, the rest is mixed.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the docs of the next.
+All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from loamwork.llm import decontaminate, jaccard, lines, mixing, toxicity
+from loamwork.llm.common import held_out, stored, table
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that score 0.3 or more; the model learns from the labels of the training fold."""
+    model = toxicity.fit(docs.where(~held_out()), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).where(F.col("score") < 0.3).select(*docs.columns)
+
+
+def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without boilerplate lines, and without documents that had nothing else. ``n_chars`` follows the text."""
+    cleaned = lines.remove_shared_lines(docs)
+    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    changed = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cleaned.where(~emptied).withColumn("n_chars", changed).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest doc_id."""
+    return jaccard.keep_one(docs).select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with its block and slot in the mixture of sources."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", drop_shared_lines),
+    ("near_copies", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("mixing", mix_sources),
+]
+
+#: The trained and the latent stages have no SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -233,6 +233,21 @@ def near_copies(docs: DataFrame) -> DataFrame:
     return labelled.select("doc_id", "tie", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest doc_id, then the smallest hash of its text.
+
+    Texts without words are in no component and all stay.
+    """
+    described, roots, _ = join(docs)
+    rooted = described.where("n > 0").join(roots, "v", "left").withColumn("root", F.coalesce("root", "v"))
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(2**63 - 1))
+    kept = rooted.groupBy("root").agg(F.min(F.struct(key.alias("_key"), F.col("tie").alias("_tie"))).alias("k")).select("k._key", "k._tie")
+    rows = docs.withColumns({"_key": key, "_tie": F.xxhash64(F.coalesce("text", F.lit("")))})
+    wordless = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
+    one = rows.where(~wordless).join(kept, ["_key", "_tie"], "left_semi").dropDuplicates(["_key", "_tie"])
+    return one.unionByName(rows.where(wordless)).drop("_key", "_tie")
+
+
 @query("op4_jaccard_join")
 def jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
