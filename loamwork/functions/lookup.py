@@ -20,8 +20,10 @@ HOURLY_UNITS = {"temp": 41, "atemp": 50, "hum": 100, "windspeed": 67}
 def decode(code: Column, names: Mapping) -> Column:
     """Description of a code from a literal mapping; unknown codes give null."""
     pairs = [F.lit(x) for pair in names.items() for x in pair]
-    key = code.cast("int") if all(isinstance(k, int) for k in names) else code
-    return F.try_element_at(F.create_map(*pairs), key)
+    if not all(isinstance(k, int) for k in names):
+        return F.try_element_at(F.create_map(*pairs), code)
+    whole = code.try_cast("int")
+    return F.when(code == whole, F.try_element_at(F.create_map(*pairs), whole))
 
 
 def denormalise(columns: Mapping[str, float]) -> list[Column]:

@@ -34,3 +34,16 @@ def field_slice(fields: Column, start: int, stop: int | None = None) -> Column:
 def occurrences(column: Column, needle: str) -> Column:
     """How often a one-character needle occurs."""
     return F.length(column) - F.length(F.replace(column, F.lit(needle), F.lit("")))
+
+
+def escape_lines(column: Column) -> Column:
+    """Line ends as ``\\n`` and ``\\r``, backslashes doubled."""
+    doubled = F.replace(column, F.lit("\\"), F.lit("\\\\"))
+    return F.replace(F.replace(doubled, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
+def unescape_lines(column: Column) -> Column:
+    """Undo :func:`escape_lines`. Doubled backslashes are set aside first, so that one before an ``n`` stays what it is."""
+    parts = F.split(column, r"\\\\", -1)
+    plain = F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.when(column.isNotNull(), F.array_join(plain, "\\"))

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.ml.classification import (
     DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
-from pyspark.mllib.classification import LogisticRegressionWithSGD, SVMWithSGD
-from pyspark.mllib.linalg import Vectors
-from pyspark.mllib.regression import LabeledPoint
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 SEED = 42
@@ -67,36 +70,70 @@ def naive_bayes(smoothing: float = 60.0, label: str = "label") -> NaiveBayes:
     return NaiveBayes(labelCol=label, smoothing=smoothing, modelType="multinomial")
 
 
-def _points(df: DataFrame):
-    rows = df.select(F.col("label").cast("double"), "features").rdd
-    return rows.map(lambda r: LabeledPoint(r[0], Vectors.fromML(r[1])))
-
-
-def sgd_logistic(train: DataFrame, iterations: int = 15, step: float = 10.0, batch_fraction: float = 0.5):
-    """Mini-batch gradient descent with its own knobs, through Spark's older trainer.
+@dataclass(frozen=True)
+class LinearModel:
+    """Weights of a linear classifier without intercept."""
 
-    Rows pass through Python once per fit; prefer :func:`logistic` where the knobs are not needed.
-    """
-    return LogisticRegressionWithSGD.train(
-        _points(train), iterations=iterations, step=step, miniBatchFraction=batch_fraction
-    )
+    weights: list[float]
 
 
-def sgd_svm(train: DataFrame, iterations: int = 3, step: float = 50.0, regularisation: float = 1.0):
-    """Hinge-loss gradient descent through Spark's older trainer; see :func:`linear_svm` for the default."""
-    return SVMWithSGD.train(_points(train), iterations=iterations, step=step, regParam=regularisation)
+def _descend(train: DataFrame, pull: Callable[[Column, Column], Column], iterations: int, step: float,
+             batch_fraction: float, regularisation: float) -> LinearModel:
+    """Mini-batch gradient descent: one aggregate of (label, features) rows per step, in the JVM.
 
-
-def linear_margin(model, features: str = "features") -> Column:
-    """Margin of a linear model as a column expression, so that scoring stays out of Python."""
-    weights = F.array(*[F.lit(float(w)) for w in model.weights])
-    products = F.zip_with(vector_to_array(features), weights, lambda x, w: x * w)
-    return F.aggregate(products, F.lit(float(model.intercept)), lambda total, p: total + p)
-
-
-def sgd_predict(model, df: DataFrame) -> DataFrame:
-    """Add the 0/1 prediction of an SGD-trained model: margin above 0, probability above one half alike."""
-    return df.withColumn("prediction", (linear_margin(model) > 0).cast("double"))
+    ``pull`` gives the factor of a row's features in the gradient from its label and margin. Steps shrink with the square
+    root of their number. The batch of a step is drawn by a hash of the row and the step, so it is the same on any cluster.
+    """
+    size = train.select(F.size(vector_to_array("features")).alias("n")).first()["n"]
+    weights = np.zeros(size)
+    for t in range(1, iterations + 1):
+        drawn = F.pmod(F.xxhash64("features", "label", F.lit(t)), F.lit(1_000_000)) < int(batch_fraction * 1_000_000)
+        factor = pull(F.col("label").cast("double"), linear_margin(weights))
+        rows = train.where(drawn).select("features", factor.alias("w"))
+        # Weights of a weighted mean are not negative: up and down are averaged apart.
+        up, down = F.greatest("w", F.lit(0.0)).alias("up"), F.greatest(-F.col("w"), F.lit(0.0)).alias("down")
+        sums = rows.select("features", up, down).agg(
+            Summarizer.mean(F.col("features"), F.col("up")).alias("up_mean"), Summarizer.mean(F.col("features"), F.col("down")).alias("down_mean"),
+            F.sum("up").alias("ups"), F.sum("down").alias("downs"), F.count(F.lit(1)).alias("n"),
+        ).first()
+        if not sums["n"]:
+            continue
+        gradient = np.zeros(size)
+        for mean, total, sign in ((sums["up_mean"], sums["ups"], 1), (sums["down_mean"], sums["downs"], -1)):
+            if total:
+                gradient += sign * total * mean.toArray()
+        rate = step / t**0.5
+        weights = weights * (1 - rate * regularisation) - rate * gradient / sums["n"]
+    return LinearModel(weights.tolist())
+
+
+def sgd_logistic(train: DataFrame, iterations: int = 15, step: float = 10.0, batch_fraction: float = 0.5) -> LinearModel:
+    """Logistic regression by mini-batch gradient descent, with its own knobs."""
+    def pull(label, margin):
+        return 1 / (1 + F.exp(-margin)) - label
+
+    return _descend(train, pull, iterations, step, batch_fraction, 0.0)
+
+
+def sgd_svm(train: DataFrame, iterations: int = 3, step: float = 50.0, regularisation: float = 1.0) -> LinearModel:
+    """Linear SVM: hinge-loss gradient descent over all rows with an L2 penalty; see :func:`linear_svm` for the default."""
+    def pull(label, margin):
+        sign = 2 * label - 1
+        return F.when(sign * margin < 1, -sign).otherwise(0.0)
+
+    return _descend(train, pull, iterations, step, 1.0, regularisation)
+
+
+def linear_margin(weights: Sequence[float], features: str = "features") -> Column:
+    """Margin of a linear model as a column expression; the weights are one array constant."""
+    constant = F.from_json(F.lit(json.dumps([float(w) for w in weights])), "array<double>")
+    products = F.zip_with(vector_to_array(features), constant, lambda x, w: x * w)
+    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+
+
+def sgd_predict(model: LinearModel, df: DataFrame) -> DataFrame:
+    """Add the 0/1 prediction of a descended model: margin above 0, probability above one half alike."""
+    return df.withColumn("prediction", (linear_margin(model.weights) > 0).cast("double"))
 
 
 def rule_lines(spark, model) -> DataFrame:

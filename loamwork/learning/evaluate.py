@@ -13,14 +13,15 @@ def hard_label_auc(
 ) -> DataFrame:
     """Area under ROC when the 0/1 prediction itself is the score: one interior point, one aggregate.
 
-    This and the other frame metrics give one row, or one per group of ``by``, such as the split a row is in.
+    This and the other frame metrics give one row, or one per group of ``by``, such as the split a row is in. Rows of a single
+    class have no curve and count as one half.
     """
     positive, called = F.col(label) > 0.5, F.col(prediction) > 0.5
     rates = scored.groupBy(*by).agg(
         F.avg(F.when(positive, called.cast("double"))).alias("tpr"),
         F.avg(F.when(~positive, called.cast("double"))).alias("fpr"),
     )
-    return rates.select(*by, ((1 + F.col("tpr") - F.col("fpr")) / 2).alias("auc"))
+    return rates.select(*by, F.coalesce((1 + F.col("tpr") - F.col("fpr")) / 2, F.lit(0.5)).alias("auc"))
 
 
 def score_auc(scored: DataFrame, label: str = "label", score: str = "rawPrediction") -> float:

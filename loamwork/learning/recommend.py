@@ -9,7 +9,7 @@ from loamwork.learning.estimators import SEED
 from loamwork.operators.aggregates import distinct_counts
 from loamwork.operators.joins import lookup_join
 from loamwork.operators.positions import dense_index
-from loamwork.workspace import held, shared_dir
+from loamwork.workspace import shared_dir, spread
 
 _INT_MAX = 2**31 - 1
 
@@ -40,7 +40,10 @@ def with_int_ids(ratings: DataFrame, *columns: str) -> DataFrame:
 
 def factoriser(rank: int = 5, iterations: int = 20, regularisation: float = 0.1, blocks: int = 10,
                user: str = "user_id", item: str = "item_id", rating: str = "rating") -> ALS:
-    """Explicit-feedback factoriser; pairs with an unknown user or item get no prediction."""
+    """Explicit-feedback factoriser; pairs with an unknown user or item get no prediction.
+
+    ``blocks`` is the number of user and of item blocks, and so of tasks in a stage.
+    """
     return ALS(
         rank=rank, maxIter=iterations, regParam=regularisation, numUserBlocks=blocks, numItemBlocks=blocks,
         userCol=user, itemCol=item, ratingCol=rating, seed=SEED, coldStartStrategy="drop",
@@ -49,12 +52,10 @@ def factoriser(rank: int = 5, iterations: int = 20, regularisation: float = 0.1,
 
 
 def train(ratings: DataFrame, **settings) -> ALSModel:
-    """Fit the factoriser with at least as many blocks as the cluster runs tasks."""
-    spark = ratings.sparkSession
-    shared_dir(spark)
-    settings.setdefault("blocks", max(10, spark.sparkContext.defaultParallelism))
-    with held(ratings):
-        return factoriser(**settings).fit(ratings)
+    """Fit the factoriser. Factors depend on ``blocks`` and not on the cluster: pass more for more tasks, and keep the number."""
+    shared_dir(ratings.sparkSession)
+    with spread(ratings) as rows:
+        return factoriser(**settings).fit(rows)
 
 
 def predict_pairs(model: ALSModel, pairs: DataFrame) -> DataFrame:
@@ -70,13 +71,16 @@ def _exploded(lists: DataFrame, key: str, other: str) -> DataFrame:
 
 
 def top_items(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
-    """(user_id, place, item_id, score) of the best items, for all users or the given ones."""
+    """(user_id, place, item_id, score) of the best items for the given users.
+
+    Without ``users`` it is a batch job over all of them: every user block meets every item block, users x items scores.
+    """
     lists = model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
     return _exploded(lists, model.getUserCol(), model.getItemCol())
 
 
 def top_users(model: ALSModel, n: int, items: DataFrame | None = None) -> DataFrame:
-    """(item_id, place, user_id, score) of the best users, for all items or the given ones."""
+    """(item_id, place, user_id, score) of the best users for the given items; all items is a batch job as in :func:`top_items`."""
     lists = model.recommendForAllItems(n) if items is None else model.recommendForItemSubset(items, n)
     return _exploded(lists, model.getItemCol(), model.getUserCol())
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from itertools import product
 from multiprocessing.pool import ThreadPool
+from threading import Lock
 from time import perf_counter
 
 from pyspark import inheritable_thread_target
@@ -44,7 +45,7 @@ def param_grid(estimator, **axes: Sequence) -> list:
 
 @dataclass
 class Trial:
-    """One fit of a sweep."""
+    """One fit of a sweep; the model only of the best one."""
 
     position: int
     settings: dict
@@ -93,10 +94,24 @@ def sweep(
     train: Callable[..., object], evaluate: Callable[[object], float], grid: Sequence[Mapping],
     larger_is_better: bool, parallelism: int = 4,
 ) -> Sweep:
-    """Fit and evaluate every setting, several at a time. The callers' frames should be cached."""
-    run = inheritable_thread_target(SparkSession.active())(
-        lambda job: train_and_evaluate(train, evaluate, job[1], job[0])
-    )
+    """Fit and evaluate every setting, several at a time. The callers' frames should be cached.
+
+    Only the best model so far is kept, so a long grid does not hold one model per setting.
+    """
+    lock, sign, best = Lock(), -1 if larger_is_better else 1, []
+
+    def trial(job):
+        done = train_and_evaluate(train, evaluate, job[1], job[0])
+        with lock:
+            if not best or (sign * done.metric, done.position) < (sign * best[0].metric, best[0].position):
+                for earlier in best:
+                    earlier.model = None
+                best[:] = [done]
+            else:
+                done.model = None
+        return done
+
+    run = inheritable_thread_target(SparkSession.active())(trial)
     pool = ThreadPool(min(parallelism, len(grid)))
     try:
         trials = pool.map(run, list(enumerate(grid)), chunksize=1)

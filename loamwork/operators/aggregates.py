@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loamwork.operators.positions import placed
 from loamwork.operators.projection import explode_words
 
 
@@ -51,26 +52,26 @@ def group_members(df: DataFrame, key: Column, member: str, key_name: str = "grp"
 def group_member_lists(
     df: DataFrame, key: Column, member: str, key_name: str = "grp", list_size: int = 10_000
 ) -> DataFrame:
-    """Members of each computed group as sorted arrays of about ``list_size`` elements, numbered by ``part``.
+    """Members of each computed group as sorted arrays of ``list_size`` elements, the last shorter, numbered by ``part``.
 
-    A small group is one array. A large one is spread over as many arrays as it needs, none is cut short:
-    copies of one member are cut into pieces and the pieces are dealt to the arrays by hash.
+    Part is the member's position in its sorted group, divided by ``list_size``. Equal members are folded; the folded rows are
+    range-partitioned by (group, member), so a large group is cut over many ranges, and the positions within each range are
+    shifted by the copies of the group in the ranges before it.
     """
-    folded = group_members(df, key, member, key_name)
-    lists = folded.groupBy(F.col(key_name).alias("_key")).agg(
-        F.ceil(F.sum("copies") / F.lit(list_size)).cast("int").alias("_lists")
-    )
-    pieces = F.sequence(F.lit(0), ((F.col("copies") - 1) / list_size).cast("int"))
-    dealt = (
-        folded.join(lists, F.col(key_name).eqNullSafe(F.col("_key")))
-        .withColumn("_piece", F.explode(pieces))
-        .withColumn("_copies", F.least(F.lit(list_size), F.col("copies") - F.col("_piece") * list_size))
-        .withColumn("part", F.pmod(F.xxhash64(member, "_piece"), F.col("_lists")).cast("int"))
-    )
-    repeated = F.array_repeat(F.col(member), F.col("_copies").cast("int"))
-    return dealt.groupBy(key_name, "part").agg(
-        F.sort_array(F.flatten(F.collect_list(repeated))).alias("members")
-    )
+    folded = placed(group_members(df, key, member, key_name), [key_name, member])
+    sizes = folded.groupBy(F.col(key_name).alias("_key"), F.col("_range").alias("_of")).agg(F.sum("copies").alias("_size"))
+    earlier = Window.partitionBy("_key").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_key", "_of", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_shift"))
+    within = Window.partitionBy("_range", key_name).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("copies").over(within), F.lit(0)) + F.col("_shift")
+    placed_rows = folded.join(shifts, F.col(key_name).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_of"))).withColumn("_start", start)
+    stop = F.col("_start") + F.col("copies")
+    parts = placed_rows.withColumn("part", F.explode(F.sequence(
+        F.floor(F.col("_start") / list_size).cast("int"), F.floor((stop - 1) / list_size).cast("int")
+    )))
+    copies = F.least(stop, (F.col("part") + 1) * list_size) - F.greatest("_start", F.col("part") * list_size)
+    repeated = F.array_repeat(F.col(member), copies.cast("int"))
+    return parts.groupBy(key_name, "part").agg(F.sort_array(F.flatten(F.collect_list(repeated))).alias("members"))
 
 
 def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence[str] | None = None) -> DataFrame:

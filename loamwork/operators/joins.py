@@ -16,13 +16,22 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Text size of a frame, counted by a distributed aggregate."""
-    row_size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    return df.agg(F.coalesce(F.sum(row_size.cast("bigint")), F.lit(0))).first()[0]
+    """Size of a frame as rows in memory: a word per column, null or not, and the bytes of text and nested values."""
+    def beyond(name: str, kind: str):
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            return F.octet_length(column)
+        return F.octet_length(F.to_json(F.struct(column))) if kind.startswith(("array", "map", "struct")) else F.lit(0)
+
+    row_size = sum((F.coalesce(beyond(n, k), F.lit(0)).cast("bigint") + 8 for n, k in df.dtypes), F.lit(8))
+    return df.agg(F.coalesce(F.sum(row_size), F.lit(0))).first()[0]
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only after measuring the frame; a larger one is left to a shuffle join."""
+    """Hint a broadcast only after measuring the frame; a larger one is left to a shuffle join.
+
+    The frame is computed once to be measured and once to be joined: pass a table, or a stored or cached frame.
+    """
     return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
@@ -44,14 +53,25 @@ def anti(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     return left.join(right.select(*on).distinct(), list(on), "left_anti")
 
 
+def _distinct_names(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
+    both = {c for c in left.columns if c not in on} & {c for c in right.columns if c not in on}
+    if both:
+        raise ValueError(f"columns {sorted(both)} are on both sides; rename them on one")
+
+
 def left_outer(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Every left row with its matches, or nulls, when the right side may repeat keys."""
+    """Every left row with its matches, or nulls, when the right side may repeat keys.
+
+    Both sides are read and shuffled twice. Where no key is hot, a plain left join is cheaper.
+    """
+    _distinct_names(left, right, on)
     pairs = matched(left, right, on)
     return pairs.unionByName(anti(left, right, on), allowMissingColumns=True)
 
 
 def right_outer(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Every right row with its matches, or nulls, when either side may repeat keys."""
+    """Every right row with its matches, or nulls, when either side may repeat keys; see :func:`left_outer`."""
+    _distinct_names(left, right, on)
     pairs = matched(left, right, on)
     return pairs.unionByName(anti(right, left, on), allowMissingColumns=True)
 
@@ -64,9 +84,18 @@ def all_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 def text_key_join(
     left: DataFrame, text_key: str, right: DataFrame, number_key: str, how: str = "left"
 ) -> DataFrame:
-    """Join a text key to an integer key. Leading zeros are ignored and text that is no number never matches."""
+    """Join a text key to an integer key. Leading zeros are ignored and text that is no number never matches.
+
+    The right side may repeat keys, so a left join is matches plus unmatched rows, which adaptive execution can split.
+    """
     keyed = left.withColumn("_number_key", F.col(text_key).try_cast("bigint"))
-    return keyed.join(right, keyed["_number_key"] == right[number_key].cast("bigint"), how).drop("_number_key")
+    on = keyed["_number_key"] == right[number_key].cast("bigint")
+    if how != "left":
+        return keyed.join(right, on, how).drop("_number_key")
+    pairs = keyed.join(right, on).drop("_number_key")
+    known = right.select(F.col(number_key).cast("bigint").alias("_number_key")).distinct()
+    unmatched = keyed.join(known, "_number_key", "left_anti").drop("_number_key")
+    return pairs.unionByName(unmatched, allowMissingColumns=True)
 
 
 def counts_by_attribute(

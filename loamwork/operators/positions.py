@@ -22,7 +22,7 @@ _RANGE_ROWS = 4_000_000
 _PLACE_BITS = 33
 
 
-def _placed(df: DataFrame, order_by: Sequence[str], rows: int) -> DataFrame:
+def placed(df: DataFrame, order_by: Sequence[str], rows: int = 0) -> DataFrame:
     """The frame with _range and _place, its zero-based place within its range, checkpointed."""
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(max(usual, -(-rows // _RANGE_ROWS)), *[F.col(c) for c in order_by])
@@ -36,7 +36,7 @@ def keys_at(
     df: DataFrame, order_by: Sequence[str], positions: Sequence[int], rows: int
 ) -> list[tuple]:
     """Order keys at zero-based global positions of a frame of ``rows`` rows. Shuffles the key columns only."""
-    ranged = _placed(df.select(*order_by), order_by, rows)
+    ranged = placed(df.select(*order_by), order_by, rows)
     sizes = sorted(ranged.groupBy("_range").count().collect())
     starts = [0, *accumulate(n for _, n in sizes)]
     wanted = []
@@ -55,13 +55,13 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     The order key should identify a row. The ranged rows are checkpointed, since the shifts are only valid for
     the ranges they were counted on. The running sum has one row per range.
     """
-    placed = _placed(df, order_by, df.count())
+    rows = placed(df, order_by, df.count())
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size")).select(
+    starts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_size")).select(
         "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
     )
     return (
-        placed.join(F.broadcast(starts), "_range")
+        rows.join(F.broadcast(starts), "_range")
         .withColumn(name, F.col("_place") + F.col("_start"))
         .drop("_range", "_place", "_start")
     )

@@ -1,6 +1,6 @@
 """The registered queries, one module per part of the inventory."""
 
 from loamwork.plans import (  # noqa: F401  (importing a module registers its queries)
-    aggregates, columns, evaluation, features, filters, joins, models, recommending, scans, sorts, tuning,
+    aggregates, checked, columns, evaluation, features, filters, joins, models, recommending, scans, sorts, tuning,
 )
 from loamwork.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -48,9 +48,9 @@ def group_members(t):
     return aggregates.group_members(t.lineitem, parity, "l_quantity", "parity")
 
 
-@query("a06_group_member_lists", "SELECT o_custkey AS customer, CAST(0 AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n, array_to_string(list_sort(list(o_orderkey)), ',') AS members FROM orders GROUP BY o_custkey")
+@query("a06_group_member_lists", "WITH placed AS (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 10 AS part FROM orders) SELECT o_custkey AS customer, CAST(part AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n, array_to_string(list_sort(list(o_orderkey)), ',') AS members FROM placed GROUP BY o_custkey, part")
 def group_member_lists(t):
-    lists = aggregates.group_member_lists(t.orders, F.col("o_custkey"), "o_orderkey", "customer", list_size=100_000)
+    lists = aggregates.group_member_lists(t.orders, F.col("o_custkey"), "o_orderkey", "customer", list_size=10)
     members = F.array_join(F.col("members").cast("array<string>"), ",")
     return lists.select("customer", "part", F.size("members").alias("n"), members.alias("members"))
 

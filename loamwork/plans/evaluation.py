@@ -31,10 +31,9 @@ def score_auc(t):
 
 
 @query("e03_accuracy", """
-SELECT round(avg(CASE WHEN label = list_position(embedding[1:10], list_max(embedding[1:10])) - 1 THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM embeddings""")
+SELECT round(avg(CASE WHEN label = (list_position(embedding, list_max(embedding)) - 1) % 10 THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM embeddings""")
 def accuracy(t):
-    head = F.slice("embedding", 1, 10)
-    guess = F.array_position(head, F.array_max(head)) - 1
+    guess = (F.array_position("embedding", F.array_max("embedding")) - 1) % 10
     return evaluate.accuracy(t.embeddings.withColumn("prediction", guess)).select(F.round("accuracy", 6).alias("accuracy"))
 
 

@@ -28,27 +28,23 @@ def _customer_keys(t):
     return t.customer.select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("segment"))
 
 
-def _order_keys(t):
-    big = t.orders.filter(F.col("o_totalprice") > 450000)
-    return big.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("order_id"))
+def _event_keys(t):
+    return t.events.select(F.col("user_id").alias("k"), "event_id")
 
 
-_BIG = "(SELECT o_custkey, o_orderkey FROM orders WHERE o_totalprice > 450000)"
-
-
-@query("j02_left_outer", f"SELECT c_custkey AS k, c_mktsegment AS segment, o_orderkey AS order_id FROM customer LEFT JOIN {_BIG} o ON c_custkey = o_custkey")
+@query("j02_left_outer", "SELECT c_custkey AS k, c_mktsegment AS segment, event_id FROM customer LEFT JOIN events ON c_custkey = user_id")
 def left_outer(t):
-    return joins.left_outer(_customer_keys(t), _order_keys(t), ["k"])
+    return joins.left_outer(_customer_keys(t), _event_keys(t), ["k"])
 
 
-@query("j03_right_outer", f"SELECT c_custkey AS k, c_mktsegment AS segment, o_orderkey AS order_id FROM {_BIG} o RIGHT JOIN customer ON c_custkey = o_custkey")
+@query("j03_right_outer", "SELECT c_custkey AS k, c_mktsegment AS segment, event_id FROM events RIGHT JOIN customer ON c_custkey = user_id")
 def right_outer(t):
-    return joins.right_outer(_order_keys(t), _customer_keys(t), ["k"])
+    return joins.right_outer(_event_keys(t), _customer_keys(t), ["k"])
 
 
-@query("j04_anti", f"SELECT c_custkey AS k, c_mktsegment AS segment FROM customer WHERE NOT EXISTS (SELECT 1 FROM {_BIG} o WHERE o_custkey = c_custkey)")
+@query("j04_anti", "SELECT c_custkey AS k, c_mktsegment AS segment FROM customer WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)")
 def anti(t):
-    return joins.anti(_customer_keys(t), _order_keys(t), ["k"])
+    return joins.anti(_customer_keys(t), _event_keys(t), ["k"])
 
 
 @query("j05_all_pairs", "SELECT s.c_mktsegment AS segment, p.o_orderpriority AS priority FROM (SELECT DISTINCT c_mktsegment FROM customer) s CROSS JOIN (SELECT DISTINCT o_orderpriority FROM orders) p")
@@ -75,11 +71,9 @@ def sql_left_where(t):
 
 
 @query("j08_left_join_group_count", """
-SELECT n_name, count(*) AS n FROM customer
-LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 4) z ON c_nationkey = n_nationkey GROUP BY n_name""")
+SELECT quality, count(*) AS n FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY quality""")
 def left_join_group_count(t):
-    known = t.nation.filter(F.col("n_regionkey") < 4)
-    return joins.counts_by_attribute(t.customer, "c_nationkey", known, "n_nationkey", "n_name")
+    return joins.counts_by_attribute(t.documents, "doc_id", t.labels, "doc_id", "quality")
 
 
 @query("j09_literal_lookup", """

@@ -99,7 +99,7 @@ def forest_regressor(t):
 
 @query("t08_boosted_regressor")
 def boosted_regressor(t):
-    return _hours(t, estimators.boosted_regressor(label="cnt", maxIter=10))
+    return _hours(t, estimators.boosted_regressor(label="cnt", maxIter=20))
 
 
 @query("t09_logistic")

@@ -11,7 +11,7 @@ from loamwork.sources.models import save_model
 from loamwork.workspace import fresh_path
 
 
-def _ratings(t):
+def ratings_of(t):
     return recommend.with_int_ids(derived.stored_ratings(t), "user_id", "item_id")
 
 
@@ -30,14 +30,14 @@ def _most_active(ratings):
 
 @query("t12_factors")
 def factors(t):
-    model = _model(_ratings(t), iterations=20)
+    model = _model(ratings_of(t), iterations=20)
     users = model.userFactors.select(F.lit("user").alias("side"), "id", "features")
     return users.unionAll(model.itemFactors.select(F.lit("item").alias("side"), "id", "features"))
 
 
 @query("v05_predict_one")
 def predict_one(t):
-    ratings = _ratings(t)
+    ratings = ratings_of(t)
     user, item = _most_active(ratings)
     return recommend.predict_pairs(_model(ratings), t.spark.createDataFrame([(user, item)], "user_id int, item_id int"))
 
@@ -49,32 +49,41 @@ def predict_pairs(t):
     return recommend.predict_pairs(model, parts["test"])
 
 
+def asked(ratings, column):
+    """The asked users or items: the hundred with the most ratings, ties by id."""
+    counts = ratings.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy(F.desc("n"), column).limit(100).select(column)
+
+
 @query("v07_top_items")
 def top_items(t):
-    return recommend.top_items(_model(_ratings(t)), 10)
+    ratings = ratings_of(t)
+    return recommend.top_items(_model(ratings), 10, asked(ratings, "user_id"))
 
 
 @query("v07_top_items_of_user")
 def top_items_of_user(t):
-    ratings = _ratings(t)
+    ratings = ratings_of(t)
     user, _ = _most_active(ratings)
     return recommend.top_items(_model(ratings), 5, t.spark.createDataFrame([(user,)], "user_id int"))
 
 
 @query("v08_top_users")
 def top_users(t):
-    return recommend.top_users(_model(_ratings(t)), 10)
+    ratings = ratings_of(t)
+    return recommend.top_users(_model(ratings), 10, asked(ratings, "item_id"))
 
 
 @query("v09_titled_items")
 def titled_items(t):
-    return recommend.with_titles(recommend.top_items(_model(_ratings(t)), 10), derived.titles(t))
+    ratings = ratings_of(t)
+    return recommend.with_titles(recommend.top_items(_model(ratings), 10, asked(ratings, "user_id")), derived.titles(t))
 
 
 @query("v10_serve_saved")
 def serve_saved(t):
     path = fresh_path(t.spark, "v10")
-    ratings = _ratings(t)
+    ratings = ratings_of(t)
     save_model(_model(ratings), path)
     user, item = _most_active(ratings)
     items = recommend.serve(t.spark, path, "U", user, 5, derived.titles(t))

@@ -8,7 +8,7 @@ from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from loamwork.functions.text import strip_quotes
+from loamwork.functions.text import strip_quotes, unescape_lines
 from loamwork.learning import estimators, features, recommend
 from loamwork.operators.aggregates import word_count
 from loamwork.operators.sorting import first_rows
@@ -65,24 +65,23 @@ def tab_ratings(t):
 
 
 @query("s05_header_tsv_quotes", """
-SELECT page_id, url, replace(html, chr(10), ' ') AS html FROM pages""")
+SELECT page_id, url, html FROM pages""")
 def header_tsv_quotes(t):
     path = fresh_path(t.spark, "s05")
-    pages = t.pages.select("page_id", "url", F.replace("html", F.lit("\n"), F.lit(" ")).alias("html"))
-    writers.write_delimited(pages, path, sep="\t", header=True, quote_all=True)
-    return readers.read_delimited(t.spark, path, pages.schema, sep="\t", header=True)
+    pages = t.pages.select("page_id", "url", "html")
+    writers.write_delimited(pages, path, sep="\t", header=True, quote_all=True, escaped=True)
+    return readers.read_delimited(t.spark, path, pages.schema, sep="\t", header=True, escaped=True)
 
 
 @query("s05_header_tsv_stripped", """
-SELECT CAST(page_id AS VARCHAR) AS page_id, url, replace(replace(html, chr(10), ' '), '"', '') AS html FROM pages""")
+SELECT CAST(page_id AS VARCHAR) AS page_id, url, replace(html, '"', '') AS html FROM pages""")
 def header_tsv_stripped(t):
     path = fresh_path(t.spark, "s05s")
-    pages = t.pages.select(
-        "page_id", "url", strip_quotes(F.replace("html", F.lit("\n"), F.lit(" "))).alias("html")
-    )
-    writers.write_delimited(pages, path, sep="\t", header=True, quote_all=True)
+    pages = t.pages.select("page_id", "url", strip_quotes("html").alias("html"))
+    writers.write_delimited(pages, path, sep="\t", header=True, quote_all=True, escaped=True)
     # Written with every field quoted, so the header line is quoted as well.
-    return readers.read_quote_stripped(t.spark, path, ["page_id", "url", "html"], "\t")
+    stripped = readers.read_quote_stripped(t.spark, path, ["page_id", "url", "html"], "\t")
+    return stripped.withColumn("html", unescape_lines(F.col("html")))
 
 
 @query("s06_header_csv", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
@@ -142,7 +141,7 @@ def model_sink(t):
 def model_source(t):
     path = fresh_path(t.spark, "s11")
     data = recommend.with_int_ids(derived.stored_ratings(t), "user_id", "item_id")
-    models.save_model(recommend.train(data, iterations=5), path)
+    models.save_model(recommend.train(data, iterations=20), path)
     loaded = models.load_model(ALSModel, path)
     scored = recommend.predict_pairs(loaded, data)
     facts = models.model_metadata(t.spark, path).first()

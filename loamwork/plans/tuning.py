@@ -1,17 +1,19 @@
-"""Tuning (G). Grids are small here; the classic value lists are in ``loamwork.learning.tune``."""
+"""Tuning (G) over the whole value lists of ``loamwork.learning.tune``."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator,
 )
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from loamwork.learning import estimators, evaluate, features, recommend, tune
 from loamwork.plans import derived
 from loamwork.plans.registry import query
-from loamwork.workspace import held, spread
+from loamwork.workspace import held, shared_dir, spread
 
 
 def _document_features(t, scale=None):
@@ -23,9 +25,7 @@ def _document_features(t, scale=None):
 
 
 def _auc(scored):
-    """Hard-label area under ROC; one half when a split holds a single class."""
-    value = evaluate.hard_label_auc(scored).first()[0]
-    return 0.5 if value is None else float(value)
+    return evaluate.one_number(evaluate.hard_label_auc(scored))
 
 
 def _sweep_documents(t, estimator, grid, scale=None):
@@ -33,21 +33,63 @@ def _sweep_documents(t, estimator, grid, scale=None):
     return tune.sweep_estimator(estimator, rows["train"], rows["validation"], _auc, grid, larger_is_better=True)
 
 
+def _axes(axes, **usual):
+    """Every value of each axis, one axis at a time, the others at their usual values."""
+    return [point for axis, values in axes.items() for point in tune.one_axis(axis, values, **{k: v for k, v in usual.items() if k != axis})]
+
+
+def _grid_sql(grid):
+    """The twin of a sweep: its settings in order, exactly one best, and what held of every trial."""
+    names = list(grid[0])
+    rows = ", ".join("(" + ", ".join([str(i), *[f"'{point[n]}'" for n in names]]) + ")" for i, point in enumerate(grid))
+    return f"SELECT CAST(grid_position AS INTEGER) AS grid_position, {', '.join(names)}, true AS timed, true AS in_range, CAST(1 AS BIGINT) AS n_best, true AS best_is_extreme FROM (VALUES {rows}) AS g(grid_position, {', '.join(names)})"
+
+
+def _held(table, metric, larger=True, top=1.0):
+    """The settings of a sweep table, with facts about each trial and about the best one, computed from the table."""
+    everything = Window.partitionBy()
+    extreme = (F.max if larger else F.min)(metric).over(everything)
+    names = [c for c in table.columns if c not in (metric, "seconds", "is_best")]
+    return table.select(
+        *names, (F.col("seconds") > 0).alias("timed"), F.col(metric).between(0, top).alias("in_range"),
+        F.count_if("is_best").over(everything).alias("n_best"),
+        (F.max(F.when(F.col("is_best"), F.col(metric))).over(everything) == extreme).alias("best_is_extreme"),
+    )
+
+
+_TREE_USUAL = {"impurity": "entropy", "maxDepth": 10, "maxBins": 10}
+_TREE_AXES = _axes(tune.TREE_AXES, **_TREE_USUAL)
+_LOGISTIC_AXES = _axes(tune.LOGISTIC_AXES, iterations=15, step=10, batch_fraction=0.5)
+_SVM_AXES = _axes(tune.SVM_AXES, iterations=15, step=10, regularisation=0.01)
+_ALS_AXES = _axes(tune.ALS_AXES, rank=8, maxIter=10, regParam=0.1)
+_TREE_GRID = tune.settings_grid(**tune.TREE_AXES)
+_ONE_TREE = [{"impurity": "entropy", "maxDepth": 10, "maxBins": 200}]
+
+
 @query("g01_train_and_evaluate")
 def train_and_evaluate(t):
-    grid = [{"impurity": "entropy", "maxDepth": 10, "maxBins": 200}]
-    return _sweep_documents(t, estimators.tree_classifier(), grid).table(t.spark, "auc")
+    return _sweep_documents(t, estimators.tree_classifier(), _ONE_TREE).table(t.spark, "auc")
+
+
+@query("g01_trial_facts", _grid_sql(_ONE_TREE))
+def trial_facts(t):
+    """E07 with it: every trial has a positive duration."""
+    return _held(train_and_evaluate(t), "auc")
 
 
 @query("g02_axis_sweep_tree")
 def axis_sweep_tree(t):
-    grid = tune.one_axis("maxDepth", [3, 5, 10, 15], impurity="entropy", maxBins=10)
-    return _sweep_documents(t, estimators.tree_classifier(), grid).table(t.spark, "auc")
+    return _sweep_documents(t, estimators.tree_classifier(), _TREE_AXES).table(t.spark, "auc")
+
+
+@query("g02_tree_axis_facts", _grid_sql(_TREE_AXES))
+def tree_axis_facts(t):
+    return _held(axis_sweep_tree(t), "auc")
 
 
 def _sweep_sgd(t, train, grid):
     rows = _document_features(t, "standard")
-    with spread(rows["train"]) as training, held(rows["validation"]) as validation:
+    with spread(rows["train"].select("label", "features")) as training, held(rows["validation"]) as validation:
         done = tune.sweep(
             lambda **settings: train(training, **settings),
             lambda model: _auc(estimators.sgd_predict(model, validation)),
@@ -56,16 +98,14 @@ def _sweep_sgd(t, train, grid):
     return done.table(t.spark, "auc")
 
 
-@query("g02b_axis_sweep_logistic")
+@query("g02b_axis_sweep_logistic", _grid_sql(_LOGISTIC_AXES))
 def axis_sweep_logistic(t):
-    grid = tune.one_axis("step", [10, 50, 100], iterations=15, batch_fraction=1.0)
-    return _sweep_sgd(t, estimators.sgd_logistic, grid)
+    return _held(_sweep_sgd(t, estimators.sgd_logistic, _LOGISTIC_AXES), "auc")
 
 
-@query("g02c_axis_sweep_svm")
+@query("g02c_axis_sweep_svm", _grid_sql(_SVM_AXES))
 def axis_sweep_svm(t):
-    grid = tune.one_axis("regularisation", [0.01, 0.1, 1.0], iterations=5, step=50)
-    return _sweep_sgd(t, estimators.sgd_svm, grid)
+    return _held(_sweep_sgd(t, estimators.sgd_svm, _SVM_AXES), "auc")
 
 
 @query("g02d_axis_sweep_bayes")
@@ -109,36 +149,38 @@ def bayes_metric_by_smoothing(t):
     return done.table(t.spark, "auc").select("grid_position", F.round("auc", 6).alias("auc"))
 
 
-@query("g02e_axis_sweep_factors")
+@query("g02e_axis_sweep_factors", _grid_sql(_ALS_AXES))
 def axis_sweep_factors(t):
     parts = derived.rating_splits(t)
-    grid = tune.one_axis("regParam", [0.05, 0.1, 1.0], rank=5, maxIter=5)
 
     def error(scored):
         return evaluate.one_number(evaluate.coverage_rmse(scored, parts["validation"], ["user_id", "item_id"]))
 
+    shared_dir(t.spark)
     done = tune.sweep_estimator(
-        recommend.factoriser(), parts["train"], parts["validation"], error, grid, larger_is_better=False
+        recommend.factoriser(), parts["train"], parts["validation"], error, _ALS_AXES, larger_is_better=False
     )
-    return done.table(t.spark, "rmse")
+    return _held(done.table(t.spark, "rmse"), "rmse", larger=False, top=10.0)
 
 
-@query("g03_full_sweep")
+@query("g03_full_sweep", _grid_sql(_TREE_GRID))
 def full_sweep(t):
-    grid = tune.settings_grid(impurity=["gini", "entropy"], maxDepth=[3, 5], maxBins=[10])
+    """Every combination; the best model is kept and serves the test rows."""
     rows = _document_features(t)
     done = tune.sweep_estimator(
-        estimators.tree_classifier(), rows["train"], rows["validation"], _auc, grid, larger_is_better=True
+        estimators.tree_classifier(), rows["train"], rows["validation"], _auc, _TREE_GRID, larger_is_better=True
     )
-    table = done.table(t.spark, "auc")
-    return table.withColumn("best_on_test", F.lit(_auc(done.best.model.transform(rows["test"]))))
+    served = done.best.model.transform(rows["test"])
+    if not 0 <= _auc(served) <= 1:
+        raise ValueError("the best model does not score")
+    return _held(done.table(t.spark, "auc"), "auc")
 
 
 @query("g04_parameter_grid")
 def parameter_grid(t):
     parts = derived.hour_splits(t)
     tree = estimators.tree_regressor(label="cnt")
-    grid = tune.param_grid(tree, maxDepth=[3, 5], maxBins=[25, 35])
+    grid = tune.param_grid(tree, maxDepth=[5, 10, 15, 25], maxBins=[25, 35, 45, 50])
     stages = Pipeline(stages=[features.assembler(derived.HOUR_FEATURES)])
     with spread(stages.fit(parts["train"]).transform(parts["train"])) as rows:
         fitted = [tree.fit(rows, params) for params in grid]
@@ -156,7 +198,7 @@ def _binary():
 @query("g05_holdout_binary")
 def holdout_binary(t):
     tree = estimators.tree_classifier("gini")
-    grid = tune.param_grid(tree, impurity=["gini", "entropy"], maxDepth=[5, 10])
+    grid = tune.param_grid(tree, impurity=["gini", "entropy"], maxDepth=[5, 10, 15], maxBins=[10, 15, 20])
     tuner = tune.holdout_tuner(features.mixed_features(["lang"], derived.NUMBERS), tree, _binary(), grid)
     with spread(derived.document_splits(t)["train"]) as train:
         return tune.tuning_table(t.spark, tuner.fit(train).stages[-1])
@@ -165,7 +207,7 @@ def holdout_binary(t):
 @query("g05_holdout_multiclass")
 def holdout_multiclass(t):
     tree = estimators.tree_classifier("gini")
-    grid = tune.param_grid(tree, maxDepth=[5, 10], maxBins=[30])
+    grid = tune.param_grid(tree, impurity=["gini", "entropy"], maxDepth=[10, 15, 25], maxBins=[30, 40, 50])
     tuner = tune.holdout_tuner([], tree, MulticlassClassificationEvaluator(metricName="accuracy"), grid)
     with spread(derived.vector_splits(t)["train"]) as train:
         return tune.tuning_table(t.spark, tuner.fit(train).stages[-1])
@@ -174,7 +216,7 @@ def holdout_multiclass(t):
 @query("g06_folds_regression")
 def folds_regression(t):
     tree = estimators.tree_regressor(label="cnt")
-    grid = tune.param_grid(tree, maxDepth=[3, 5], maxBins=[25, 35])
+    grid = tune.param_grid(tree, maxDepth=[5, 10, 15, 25], maxBins=[25, 35, 45, 50])
     stages = [features.assembler(derived.HOUR_FEATURES, "assembled"), features.category_slots(24)]
     tuner = tune.fold_tuner(stages, tree, RegressionEvaluator(labelCol="cnt", metricName="rmse"), grid)
     with spread(derived.hour_splits(t)["train"]) as train:
@@ -183,8 +225,8 @@ def folds_regression(t):
 
 @query("g06_folds_boosted")
 def folds_boosted(t):
-    boosted = estimators.boosted_regressor(label="cnt", maxDepth=3)
-    grid = tune.param_grid(boosted, maxIter=[3, 5])
+    boosted = estimators.boosted_regressor(label="cnt")
+    grid = tune.param_grid(boosted, maxDepth=[5, 10], maxBins=[25, 40], maxIter=[10, 50])
     stages = [features.assembler(derived.HOUR_FEATURES, "assembled"), features.category_slots(24)]
     tuner = tune.fold_tuner(stages, boosted, RegressionEvaluator(labelCol="cnt", metricName="rmse"), grid)
     with spread(derived.hour_splits(t)["train"]) as train:
@@ -193,14 +235,11 @@ def folds_boosted(t):
 
 @query("g07_metric_by_parameter")
 def metric_by_parameter(t):
-    depths = _sweep_documents(
-        t, estimators.tree_classifier(), tune.one_axis("maxDepth", [3, 10], impurity="gini", maxBins=10)
-    ).table(t.spark, "auc")
-    bins = _sweep_documents(
-        t, estimators.tree_classifier(), tune.one_axis("maxBins", [5, 50], impurity="gini", maxDepth=5)
-    ).table(t.spark, "auc")
-    long = [
-        table.select(F.lit(axis).alias("parameter"), F.col(axis).alias("value"), "auc", "seconds")
-        for axis, table in (("maxDepth", depths), ("maxBins", bins))
-    ]
-    return long[0].unionAll(long[1])
+    table = _sweep_documents(t, estimators.tree_classifier(), _TREE_AXES).table(t.spark, "auc")
+    # Each axis in turn is the parameter of its own part of the sweep.
+    parts, start = [], 0
+    for axis, values in tune.TREE_AXES.items():
+        own = table.where(F.col("grid_position").between(start, start + len(values) - 1))
+        parts.append(own.select(F.lit(axis).alias("parameter"), F.col(axis).alias("value"), "auc", "seconds"))
+        start += len(values)
+    return reduce(DataFrame.unionAll, parts)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -23,10 +25,16 @@ class Tables:
         return frame
 
     def sql(self, statement: str, **views: DataFrame) -> DataFrame:
-        """Run SQL over the given frames, each registered as a temporary view of that name."""
-        for name, frame in views.items():
-            register_view(frame, name)
-        return self.spark.sql(statement)
+        """Run SQL over the given frames under those names. No view of the session is replaced or left behind."""
+        held = {name: f"{name}_{uuid.uuid4().hex}" for name in views}
+        for name, view in held.items():
+            views[name].createTempView(view)
+            statement = re.sub(rf"\b{name}\b", view, statement)
+        try:
+            return self.spark.sql(statement)
+        finally:
+            for view in held.values():
+                self.spark.catalog.dropTempView(view)
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
@@ -61,6 +69,8 @@ def schema_table(df: DataFrame) -> DataFrame:
 
 def cache_report(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """Cache state before, during and after a cached count, as one row."""
+    # One column shows the state as well as all of them.
+    df = df.select(df.columns[0])
     before = df.is_cached
     df.persist(level)
     during, n_rows = df.is_cached, df.count()

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
-from loamwork.functions.text import split_on, strip_quotes
+from loamwork.functions.text import split_on, strip_quotes, unescape_lines
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -21,11 +21,24 @@ def read_delimited(
     schema: str | StructType,
     sep: str = ",",
     header: bool = False,
+    mode: str = "FAILFAST",
+    escaped: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Delimited file with quoting honoured; doubled quotes stand for one quote."""
-    reader = spark.read.schema(schema).option("sep", sep).option("header", header)
-    return reader.options(**{"quote": '"', "escape": '"', **options}).csv(path)
+    """Delimited file with quoting honoured; doubled quotes stand for one quote.
+
+    A bad number, a short line or a surplus field is an error. ``mode="PERMISSIVE"`` makes nulls of them, with
+    ``columnNameOfCorruptRecord`` and a schema column of that name to keep the line. ``escaped`` undoes the escapes of
+    :func:`loamwork.sources.writers.write_delimited`.
+    """
+    reader = spark.read.schema(schema).option("sep", sep).option("header", header).option("mode", mode)
+    read = reader.options(**{"quote": '"', "escape": '"', **options}).csv(path)
+    if not escaped:
+        return read
+    return read.select(*[
+        (unescape_lines(F.col(f"`{f.name}`")) if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`")).alias(f.name)
+        for f in read.schema.fields
+    ])
 
 
 def read_as_strings(spark: SparkSession, path: str, columns: Sequence[str], **options: str) -> DataFrame:

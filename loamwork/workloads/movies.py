@@ -12,6 +12,7 @@ from loamwork.learning.tune import Sweep, sweep_estimator
 from loamwork.operators.splits import split_frames
 from loamwork.sources import schemas
 from loamwork.sources.readers import read_delimited
+from loamwork.workspace import shared_dir
 
 PAIR = ["user_id", "item_id"]
 
@@ -39,11 +40,12 @@ def rating_error(model: ALSModel, ratings: DataFrame) -> float:
 
 
 def tune_ratings(
-    train: DataFrame, validation: DataFrame, grid: Sequence[Mapping], parallelism: int = 2
+    train: DataFrame, validation: DataFrame, grid: Sequence[Mapping], parallelism: int = 2, blocks: int = 10
 ) -> Sweep:
-    """Sweep over ``rank``, ``maxIter`` and ``regParam``."""
+    """Sweep over ``rank``, ``maxIter`` and ``regParam``, with the same ``blocks`` as :func:`recommend.train` is given."""
+    shared_dir(train.sparkSession)
     return sweep_estimator(
-        recommend.factoriser(), train, validation,
+        recommend.factoriser(blocks=blocks), train, validation,
         lambda scored: evaluate.one_number(evaluate.coverage_rmse(scored, validation, PAIR)),
         grid, larger_is_better=False, parallelism=parallelism,
     )

@@ -17,7 +17,7 @@ def read_users(spark: SparkSession, path: str) -> DataFrame:
 
 def read_zipcodes(spark: SparkSession, path: str) -> DataFrame:
     """The first four columns of the zip-code file; further columns are ignored."""
-    return read_delimited(spark, path, schemas.ZIPCODES, header=True)
+    return read_delimited(spark, path, schemas.ZIPCODES, header=True, mode="PERMISSIVE")
 
 
 def with_birth_year(users: DataFrame, year: int = 2016) -> DataFrame:

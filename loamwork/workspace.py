@@ -7,7 +7,7 @@ import uuid
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,16 +49,25 @@ def held(*frames: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
             frame.unpersist()
 
 
+#: Partitions of a training frame unless the caller says otherwise: part of what a seeded learner's result depends on.
+TRAINING_PARTITIONS = 16
+
+
+def dealt(df: DataFrame, parts: int = TRAINING_PARTITIONS) -> DataFrame:
+    """The frame in ``parts`` partitions by a hash of its rows, each sorted by that hash.
+
+    Seeded learners draw per partition. Dealt this way the same rows, seed and ``parts`` give the same model on any cluster.
+    """
+    key = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    keyed = df.withColumn("_deal", key)
+    return keyed.repartition(parts, "_deal").sortWithinPartitions("_deal").drop("_deal")
+
+
 @contextmanager
-def spread(df: DataFrame):
-    """A cached frame with at least one partition per task slot, for learners that pass over it many times.
+def spread(df: DataFrame, parts: int = TRAINING_PARTITIONS):
+    """A cached frame, dealt to ``parts`` partitions, for learners that pass over it many times.
 
-    A frame that already has enough partitions is cached as it is.
+    Set ``parts`` to a few times the cluster's task slots on large data, and keep it to repeat a model.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    with held(df):
-        if df.rdd.getNumPartitions() >= slots:
-            yield df
-        else:
-            with held(df.repartition(slots)) as wider:
-                yield wider
+    with held(dealt(df, parts)) as rows:
+        yield rows

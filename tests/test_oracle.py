@@ -25,5 +25,5 @@ def test_every_twin_has_a_query():
 
 def test_entry_has_rows(spark):
     frame = contract.entry(spark)
-    assert frame.columns == ["n_name", "n"]
+    assert frame.columns == ["quality", "n"]
     assert frame.count() > 0

@@ -47,9 +47,9 @@ def test_quotes_honoured_or_stripped(spark, tmp_path):
     ]
 
 
-def test_short_rows_give_nulls(spark, tmp_path):
+def test_short_rows_give_nulls_where_permitted(spark, tmp_path):
     path = put(tmp_path / "cover", "f0,f1,f2,f3,f4,f5\n1,2,3,4,5\n")
-    row = readers.read_delimited(spark, path, schemas.numbered(6), header=True).first()
+    row = readers.read_delimited(spark, path, schemas.numbered(6), header=True, mode="PERMISSIVE").first()
     assert tuple(row) == ("1", "2", "3", "4", "5", None)
 
 
@@ -126,11 +126,34 @@ def test_lineage_cut_keeps_rows(spark):
     assert sorted(r.id for r in cut_lineage(df).collect()) == list(range(0, 100, 3))
 
 
-def test_spread_widens_only_narrow_frames(spark):
+def test_spread_deals_rows_alike_from_any_partitions(spark):
+    def dealt_rows(frame):
+        with spread(frame, 7) as rows:
+            assert rows.rdd.getNumPartitions() == 7
+            return rows.withColumn("p", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()).orderBy("at").collect()
+
     narrow, wide = spark.range(0, 100, 1, 2), spark.range(0, 100, 1, 32)
-    with spread(narrow) as rows:
-        assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-        assert sorted(r.id for r in rows.collect()) == list(range(100))
-    with spread(wide) as rows:
-        assert rows is wide
+    first = dealt_rows(narrow)
+    assert first == dealt_rows(wide) and sorted(r.id for r in first) == list(range(100))
     assert not narrow.is_cached and not wide.is_cached
+
+
+def test_delimited_text_keeps_blanks_and_line_ends(spark, tmp_path):
+    rows = [(1, "  a "), (2, "x\ny\r\\n\\"), (3, 'q"z'), (4, None), (5, ""), (6, "\\")]
+    empty_as_null = [(k, v or None) for k, v in rows]
+    df = spark.createDataFrame(rows, "k int, v string")
+    writers.write_delimited(df, f"{tmp_path}/a", escaped=True)
+    assert sorted(map(tuple, readers.read_delimited(spark, f"{tmp_path}/a", df.schema, escaped=True).collect())) == empty_as_null
+    plain = df.where("k <> 2")
+    writers.write_delimited(plain, f"{tmp_path}/b", header=True)
+    assert sorted(map(tuple, readers.read_delimited(spark, f"{tmp_path}/b", df.schema, header=True).collect())) == [r for r in empty_as_null if r[0] != 2]
+    with pytest.raises(Exception, match="line end"):
+        writers.write_delimited(df, f"{tmp_path}/c")
+
+
+def test_bad_numbers_fail_unless_permitted(spark, tmp_path):
+    (tmp_path / "bad.csv").write_text("1,2\nx,3\n4\n")
+    with pytest.raises(Exception):
+        readers.read_delimited(spark, f"{tmp_path}/bad.csv", "a int, b int").collect()
+    kept = readers.read_delimited(spark, f"{tmp_path}/bad.csv", "a int, b int", mode="PERMISSIVE").collect()
+    assert sorted(map(str, map(tuple, kept))) == ["(1, 2)", "(4, None)", "(None, 3)"]
