@@ -22,7 +22,6 @@ a component without any other has a null component_id. Rows with equal doc_id ar
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +32,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from loamwork.llm.common import partitions, query, stored, table
 from loamwork.llm.components import components
 
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)]
 #: The part of the hash space that is counted first, for all documents.
 _FIRST = 0.25
@@ -49,20 +46,19 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class _Shingler:
     """Sorted distinct shingle hashes of texts. Word hashes are kept from text to text, up to a bound."""
 
-    def __init__(self, width: int = 5, memory: int = 200_000):
+    def __init__(self, width: int = 5, memory: int = 500_000):
         self.width, self.memory, self.known = width, memory, {}
 
     def _words(self, text: str) -> np.ndarray:
-        words = _WORDS.findall(text.translate(_LOWER) if not text.isascii() else text.lower())
-        known = self.known
+        # On bytes, lower() and split() know ASCII only: A-Z, and the blanks 09-0D and 20.
+        words, known = text.encode().lower().split(), self.known
         if len(known) > self.memory:
             known.clear()
         try:
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh3_64_intdigest(w)
+            for w in set(words).difference(known):
+                known[w] = xxhash.xxh3_64_intdigest(w)
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -78,7 +74,8 @@ class _Shingler:
         total = np.zeros(n, np.uint64)
         for k in range(self.width):
             total = _mixed(total + h[k:k + n] * _MIX[k % 5])
-        return np.unique(total)
+        total.sort()
+        return total[np.append(True, total[1:] != total[:-1])]
 
 
 def _name(s: np.ndarray) -> int:
@@ -128,8 +125,12 @@ def _few_own():
 
 
 def _could_link(a: str, b: str):
-    """Upper bounds on the overlap from shared shingles and sizes, against the number that a link takes."""
-    most = F.least(F.col(f"{a}n") - F.col(f"{a}own"), F.col(f"{b}n") - F.col(f"{b}own"))
+    """Whether two documents can link whose first common shingle is at these places of their orders.
+
+    What comes before is not common, so the overlap is at most what comes from there. Where the shingle is not their
+    first common one, the pair is found, and bounded rightly, at that one.
+    """
+    most = F.least(F.col(f"{a}n") - F.col(f"{a}at"), F.col(f"{b}n") - F.col(f"{b}at"))
     return 9 * most >= 4 * (F.col(f"{a}n") + F.col(f"{b}n"))
 
 
@@ -199,10 +200,11 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     # What no document that is left shares is the document's own as well, and comes first in the order.
     counted = ordered.withColumn("own", F.col("n") - F.size("order")).where(_few_own())
     length = F.floor(F.col("n") / 5) - F.col("own") + 1
-    prefix = stored(counted.select("v", "n", "own", F.explode(F.slice("order", F.lit(1), length.cast("int"))).alias("o")).select("v", "n", "own", "o.s"), "prefixes")
+    prefix = stored(counted.select("v", "n", "own", F.posexplode(F.slice("order", F.lit(1), length.cast("int"))).alias("at", "o")).select(
+        "v", "n", "own", (F.col("own") + F.col("at")).alias("at"), "o.s"), "prefixes")
 
-    centre = prefix.groupBy("s").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "v", "n", "own")).alias("c"))
-    centre = centre.select("s", F.col("c.v").alias("centre"), F.col("c.n").alias("cn"), F.col("c.own").alias("cown"))
+    centre = prefix.groupBy("s").agg(F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "v", "n", "at")).alias("c"))
+    centre = centre.select("s", F.col("c.v").alias("centre"), F.col("c.n").alias("cn"), F.col("c.at").alias("cat"))
     starred = prefix.join(centre, "s").where((F.col("v") != F.col("centre")) & _could_link("c", "")).select("centre", "v").distinct()
     links = _links(starred, sets)
     roots = components(links)
@@ -213,7 +215,7 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.max(F.struct("size", "root")).alias("largest"), F.count(F.lit(1)).alias("kinds")
     ).where("kinds > 1").select("s", F.col("largest.root").alias("main"))
     open_rows = labelled.join(sizes, "s")
-    outside = open_rows.where("root <> main").select("s", F.col("v").alias("centre"), F.col("root").alias("croot"), F.col("n").alias("cn"), F.col("own").alias("cown"))
+    outside = open_rows.where("root <> main").select("s", F.col("v").alias("centre"), F.col("root").alias("croot"), F.col("n").alias("cn"), F.col("at").alias("cat"))
     crossing = outside.join(open_rows, "s").where((F.col("root") != F.col("croot")) & _could_link("c", "")).where((F.col("root") == F.col("main")) | (F.col("v") < F.col("centre")))
     tried = starred.select("centre", "v").unionByName(starred.select(F.col("v").alias("centre"), F.col("centre").alias("v")))
     rest = crossing.select("centre", "v").distinct().join(tried, ["centre", "v"], "left_anti")
