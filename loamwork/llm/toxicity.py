@@ -112,13 +112,13 @@ def _features(counts: np.ndarray) -> np.ndarray:
     return np.hstack([np.log1p(kinds), np.log1p(total), np.minimum(total, 2) / 2, np.log1p(100 * total / np.maximum(words, 1))])
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.1, steps: int = 40) -> np.ndarray:
-    """Weights, intercept last, by Newton's method. A few features, so the matrix is tiny."""
+def _logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 0.1, steps: int = 40) -> np.ndarray:
+    """Weights, intercept last, by Newton's method; rows count ``times`` times. A few features, so the matrix is tiny."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w, ridge = np.zeros(x.shape[1]), np.diag([penalty] * (x.shape[1] - 1) + [1e-3])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (times * (y - p)) - ridge @ w)
         w = w + step
         if np.abs(step).max() < 1e-6:
             break
@@ -202,8 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000) -> dict:
     weights = None
     if len({r["toxic"] for r in counted}) == 2:
         counted = sorted(counted, key=lambda r: (r["counts"], r["toxic"]))
-        # Copies weigh once, as a row of the fold.
-        weights = _logistic(_features(np.array([r["counts"] for r in counted], float)), np.array([r["toxic"] for r in counted], float)).tolist()
+        x = _features(np.array([r["counts"] for r in counted], float))
+        weights = _logistic(x, np.array([r["toxic"] for r in counted], float), np.array([r["count"] for r in counted], float)).tolist()
     return {"words": words, "stems": stems, "weights": weights}
 
 
