@@ -90,18 +90,15 @@ def _descend(train: DataFrame, pull: Callable[[Column, Column], Column], iterati
         drawn = F.pmod(F.xxhash64("features", "label", F.lit(t)), F.lit(1_000_000)) < int(batch_fraction * 1_000_000)
         factor = pull(F.col("label").cast("double"), linear_margin(weights))
         rows = train.where(drawn).select("features", factor.alias("w"))
-        # Weights of a weighted mean are not negative: up and down are averaged apart.
-        up, down = F.greatest("w", F.lit(0.0)).alias("up"), F.greatest(-F.col("w"), F.lit(0.0)).alias("down")
+        # Weights of a weighted mean are not negative, nor all zero: up and down are averaged apart, each one higher.
+        up, down = (F.greatest("w", F.lit(0.0)) + 1).alias("up"), (F.greatest(-F.col("w"), F.lit(0.0)) + 1).alias("down")
         sums = rows.select("features", up, down).agg(
             Summarizer.mean(F.col("features"), F.col("up")).alias("up_mean"), Summarizer.mean(F.col("features"), F.col("down")).alias("down_mean"),
             F.sum("up").alias("ups"), F.sum("down").alias("downs"), F.count(F.lit(1)).alias("n"),
         ).first()
         if not sums["n"]:
             continue
-        gradient = np.zeros(size)
-        for mean, total, sign in ((sums["up_mean"], sums["ups"], 1), (sums["down_mean"], sums["downs"], -1)):
-            if total:
-                gradient += sign * total * mean.toArray()
+        gradient = sums["ups"] * sums["up_mean"].toArray() - sums["downs"] * sums["down_mean"].toArray()
         rate = step / t**0.5
         weights = weights * (1 - rate * regularisation) - rate * gradient / sums["n"]
     return LinearModel(weights.tolist())
