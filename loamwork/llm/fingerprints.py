@@ -108,14 +108,16 @@ def edited_neighbours(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("k"), F.xxhash64(text).alias("tie"))
     rows = rows.withColumn("bucket", _buckets(rows, 4 * partitions(docs.sparkSession)))
-    top = rows.groupBy("bucket").agg(F.max(F.struct("k", "tie")).alias("top")).select("bucket", "top.k", "top.tie")
-    # At most one row per range, 10,000 in all.
-    heads = rows.join(F.broadcast(top), ["bucket", "k", "tie"]).groupBy("bucket").agg(F.min("text").alias("text"))
+    # At most one row per range, 10,000 in all; without texts, as one task puts them in order.
     before = F.lag("bucket").over(Window.orderBy(F.desc("bucket")))
     last = F.min("bucket").over(Window.partitionBy())
+    top = rows.groupBy("bucket").agg(F.max(F.struct("k", "tie")).alias("top")).select(
+        "bucket", "top.k", "top.tie", F.coalesce(before, last).alias("target")
+    )
+    heads = rows.join(F.broadcast(top), ["bucket", "k", "tie"]).groupBy("target").agg(F.min("text").alias("text"))
     copies = heads.select(
         F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", F.lit(None).cast("bigint").alias("k"),
-        F.lit(None).cast("bigint").alias("tie"), F.coalesce(before, last).alias("bucket"), F.lit(True).alias("copied"),
+        F.lit(None).cast("bigint").alias("tie"), F.col("target").alias("bucket"), F.lit(True).alias("copied"),
     )
     ordered = Window.partitionBy("bucket").orderBy("copied", F.desc("k"), F.desc("tie"))
     both = rows.withColumn("copied", F.lit(False)).unionByName(copies)
