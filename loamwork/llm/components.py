@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from loamwork.llm.common import stored
 
 
+def _signature(edges: DataFrame) -> tuple:
+    """Number of edges and the sum of their hashes: equal sets have equal signatures, others with a chance of 2**-64."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, root): the smallest vertex reachable from each vertex that has an edge. ``edges`` has bigint columns a and b.
 
@@ -17,6 +22,7 @@ def components(edges: DataFrame) -> DataFrame:
     current = stored(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct(), "edges")
     if current.isEmpty():
         return current.select(F.col("a").alias("v"), F.col("b").alias("root"))
+    signature = _signature(current)
     while True:
         # Large star: neighbours above a vertex go under the smallest of its neighbourhood.
         both = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,9 +32,9 @@ def components(edges: DataFrame) -> DataFrame:
         down = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(down, "b").select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(down.select(F.col("m").alias("a"), "b"))
         following = stored(small.where("a <> b").distinct(), "edges")
-        changed = following.count() != current.count() or not following.join(current, ["a", "b"], "left_anti").isEmpty()
+        before, signature = signature, _signature(following)
         current = following
-        if not changed:
+        if signature == before:
             break
     leaves = current.select(F.col("b").alias("v"), F.col("a").alias("root"))
     return leaves.unionByName(leaves.select(F.col("root").alias("v"), "root").distinct())
