@@ -57,6 +57,8 @@ def _held(table, metric, larger=True, top=1.0):
     )
 
 
+#: Hours of a year by weekday: some ten thousand rows, whatever the number of events.
+_HOUR_PARTS = 4
 _TREE_USUAL = {"impurity": "entropy", "maxDepth": 10, "maxBins": 10}
 _TREE_AXES = _axes(tune.TREE_AXES, **_TREE_USUAL)
 _LOGISTIC_AXES = _axes(tune.LOGISTIC_AXES, iterations=15, step=10, batch_fraction=0.5)
@@ -182,7 +184,7 @@ def parameter_grid(t):
     tree = estimators.tree_regressor(label="cnt")
     grid = tune.param_grid(tree, maxDepth=[5, 10, 15, 25], maxBins=[25, 35, 45, 50])
     stages = Pipeline(stages=[features.assembler(derived.HOUR_FEATURES)])
-    with spread(stages.fit(parts["train"]).transform(parts["train"])) as rows:
+    with spread(stages.fit(parts["train"]).transform(parts["train"]), _HOUR_PARTS) as rows:
         fitted = [tree.fit(rows, params) for params in grid]
     settings = [
         (i, *[int(m.getOrDefault(n)) for n in ("maxDepth", "maxBins")], int(m.depth), int(m.numNodes))
@@ -218,8 +220,8 @@ def folds_regression(t):
     tree = estimators.tree_regressor(label="cnt")
     grid = tune.param_grid(tree, maxDepth=[5, 10, 15, 25], maxBins=[25, 35, 45, 50])
     stages = [features.assembler(derived.HOUR_FEATURES, "assembled"), features.category_slots(24)]
-    tuner = tune.fold_tuner(stages, tree, RegressionEvaluator(labelCol="cnt", metricName="rmse"), grid)
-    with spread(derived.hour_splits(t)["train"]) as train:
+    tuner = tune.fold_tuner(stages, tree, RegressionEvaluator(labelCol="cnt", metricName="rmse"), grid, parallelism=8)
+    with spread(derived.hour_splits(t)["train"], _HOUR_PARTS) as train:
         return tune.tuning_table(t.spark, tuner.fit(train).stages[-1])
 
 
@@ -228,8 +230,8 @@ def folds_boosted(t):
     boosted = estimators.boosted_regressor(label="cnt")
     grid = tune.param_grid(boosted, maxDepth=[5, 10], maxBins=[25, 40], maxIter=[10, 50])
     stages = [features.assembler(derived.HOUR_FEATURES, "assembled"), features.category_slots(24)]
-    tuner = tune.fold_tuner(stages, boosted, RegressionEvaluator(labelCol="cnt", metricName="rmse"), grid)
-    with spread(derived.hour_splits(t)["train"]) as train:
+    tuner = tune.fold_tuner(stages, boosted, RegressionEvaluator(labelCol="cnt", metricName="rmse"), grid, parallelism=8)
+    with spread(derived.hour_splits(t)["train"], _HOUR_PARTS) as train:
         return tune.tuning_table(t.spark, tuner.fit(train).stages[-1])
 
 
