@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from loamwork.llm.common import query, stored, table
+from loamwork.operators.joins import BROADCAST_BYTES, broadcast_if_small
 
 #: (host, path, verdict)
 RULES = [
@@ -58,12 +59,12 @@ def _context(gram: str, n: int) -> Column:
     return F.substring(gram, 1, n - 1)
 
 
-def fit(labelled: DataFrame, order: int = 5, prior: float = 2.0, min_count: int = 3, max_grams: int = 200_000) -> list[DataFrame]:
+def fit(labelled: DataFrame, order: int = 5, prior: float = 2.0, min_count: int = 3) -> list[DataFrame]:
     """Log probability ratios of n-grams, one table (gram, ratio) for each length from 1 to ``order``.
 
     ``labelled`` has ``body`` and ``accepted``. N-grams seen fewer than ``min_count`` times have no entry of their own, so
-    their characters are predicted from a shorter context. ``max_grams`` bounds each table, which is broadcast: beyond
-    it the rarest n-grams, ties by text, fall back to a shorter context in the same way.
+    their characters are predicted from a shorter context. The tables grow with the input and are joined as their measured
+    sizes allow.
     """
     grams = _positions(labelled.select("body", "accepted"), order)
     exploded = grams.select("accepted", F.explode(F.array(*[F.col(f"g{n}") for n in range(1, order + 1)])).alias("gram"))
@@ -78,7 +79,6 @@ def fit(labelled: DataFrame, order: int = 5, prior: float = 2.0, min_count: int
         context = seen.groupBy(_context("gram", n).alias("context")).agg(F.sum("yes").alias("yes_all"), F.sum("no").alias("no_all"))
         kept = (
             seen.where((F.col("yes") + F.col("no") >= min_count) | F.lit(n == 1))
-            .orderBy((F.col("yes") + F.col("no")).desc(), "gram").limit(max_grams)
             .withColumn("context", _context("gram", n)).join(context, "context")
         )
         if below is None:
@@ -86,7 +86,7 @@ def fit(labelled: DataFrame, order: int = 5, prior: float = 2.0, min_count: int
             kept = kept.withColumns({"p_yes": width, "p_no": width})
         else:
             lower = below.select(F.col("gram").alias("suffix"), F.col("yes_p").alias("p_yes"), F.col("no_p").alias("p_no"))
-            kept = kept.withColumn("suffix", F.substring("gram", 2, n)).join(F.broadcast(lower), "suffix")
+            kept = kept.withColumn("suffix", F.substring("gram", 2, n)).join(broadcast_if_small(lower), "suffix")
         below = kept.select(
             "gram",
             ((F.col("yes") + prior * F.col("p_yes")) / (F.col("yes_all") + prior)).alias("yes_p"),
@@ -97,14 +97,21 @@ def fit(labelled: DataFrame, order: int = 5, prior: float = 2.0, min_count: int
     return tables
 
 
-def score(urls: DataFrame, model: list[DataFrame], key: str) -> DataFrame:
-    """(key, ratio): the mean log-likelihood difference per character, positive for accepted-like urls."""
-    at = _positions(urls.select(key, "body"), len(model))
+def score(urls: DataFrame, model: list[DataFrame], key: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """(key, ratio): the mean log-likelihood difference per character, positive for accepted-like urls.
+
+    Each distinct n-gram of the urls is looked up once; tables of more than ``limit`` bytes are joined by shuffle.
+    """
+    order = len(model)
+    at = _positions(urls.select(key, "body"), order).select(key, F.col(f"g{order}").alias("gram"))
+    grams = at.select("gram").distinct()
     for n, ratios in enumerate(model, 1):
-        at = at.join(F.broadcast(ratios.select(F.col("gram").alias(f"g{n}"), F.col("ratio").alias(f"r{n}"))), f"g{n}", "left")
-    longest = F.coalesce(*[F.col(f"r{n}") for n in range(len(model), 0, -1)], F.lit(0.0))
+        ratios = ratios.select(F.col("gram").alias("suffix"), F.col("ratio").alias(f"r{n}"))
+        grams = grams.withColumn("suffix", F.substring("gram", order - n + 1, n)).join(broadcast_if_small(ratios, limit), "suffix", "left").drop("suffix")
+    longest = F.coalesce(*[F.col(f"r{n}") for n in range(order, 0, -1)], F.lit(0.0))
     # Decimals add up to the same sum in any order.
-    return at.groupBy(key).agg((F.sum(longest.cast("decimal(20,9)")) / F.count(F.lit(1))).cast("double").alias("ratio"))
+    known = stored(grams.select("gram", longest.cast("decimal(20,9)").alias("r")), "url-gram-ratios")
+    return at.join(broadcast_if_small(known, limit), "gram", "left").groupBy(key).agg((F.sum("r") / F.count(F.lit(1))).cast("double").alias("ratio"))
 
 
 def threshold(scored: DataFrame) -> float:

@@ -215,3 +215,17 @@ def test_every_leak_that_passes_the_check_is_a_candidate(spark):
     found = {(r.doc_id, r.item_id): r.share for r in decontaminate.search(rows, items, min_share=0.6, sure_share=0.6).collect()}
     assert found == {pair: share for pair, share in want.items() if share >= 0.6}
     assert len(found) > 3 * len(queries)
+
+
+def test_url_models_keep_all_ngrams_and_join_by_shuffle(spark):
+    """More than 200,000 n-grams of a length are all kept; scores are the same whether tables are broadcast or shuffled."""
+    rng = np.random.default_rng(5)
+    bodies = ["".join(map(chr, row)) for row in rng.integers(97, 123, (2500, 100))]
+    labelled = spark.createDataFrame([(b, i % 2 == 0) for i, b in enumerate(bodies)], "body string, accepted boolean")
+    model = urls.fit(labelled, min_count=1)
+    padded = ["\x02" * 4 + b for b in bodies]
+    want = {p[i:i + 5] for p in padded for i in range(100)}
+    assert len(want) > 200_000 and model[4].count() == len(want)
+    few = labelled.limit(50).withColumn("key", labelled["body"])
+    small, large = ({r.key: r.ratio for r in urls.score(few, model, "key", limit).collect()} for limit in (1 << 30, 0))
+    assert len(small) == 50 and small == large
