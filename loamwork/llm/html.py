@@ -29,6 +29,8 @@ _BLOCKS = set(
     "tr ul caption".split()
 )
 _NOT_TEXT = set("script style noscript template head title iframe object svg math canvas audio video select option datalist textarea button".split())
+#: Of these, what stands in them is no markup of the page; their end tags can't be left out.
+_OPAQUE = set("script style noscript template title iframe svg math".split())
 _NOT_ARTICLE = set("nav footer aside form header menu dialog".split())
 _ROLES = set("navigation banner contentinfo complementary search menu menubar toolbar dialog alert alertdialog form".split())
 _ENDS_P = _BLOCKS - {"body", "html"}
@@ -49,28 +51,29 @@ _PARAGRAPHS = {"p", "pre", "td", "blockquote", "li", "dd", "h1", "h2", "h3", "h4
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "score", "likely", "link", "n_text", "n_link")
+    __slots__ = ("tag", "parent", "children", "score", "likely", "link", "n_text", "n_link", "cut")
 
-    def __init__(self, tag, parent, likely=0, link=False):
+    def __init__(self, tag, parent, likely=0, link=False, cut=False):
+        self.cut = cut
         self.tag, self.parent, self.children, self.score = tag, parent, [], 0.0
         self.likely, self.link, self.n_text, self.n_link = likely, link, 0, 0
 
 
 class _Tree(HTMLParser):
-    """Blocks, inline elements and text; what can't be article text is left out while reading."""
+    """Blocks, inline elements and text. What can't be article text stands in the tree while it is open, so that it is closed
+    like all else, but is not among the children of its parent."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = _Node("body", None)
-        self.cut: list[str] = []
 
     def handle_starttag(self, tag, attrs):
-        if self.cut:
-            # Only an element of the same name can nest with the one that is cut.
-            if tag == self.cut[0] and tag not in _VOID:
-                self.cut.append(tag)
+        if self.at.tag in _OPAQUE:
+            # Only an element of the same name can nest.
+            if tag == self.at.tag:
+                self.at = _Node(tag, self.at, cut=True)
             return
-        if tag in _BLOCKS:
+        if tag in _BLOCKS or tag == "body":
             self._make_room(tag)
         if tag in _VOID:
             if tag in ("br", "hr", "img"):
@@ -86,11 +89,9 @@ class _Tree(HTMLParser):
         unlikely = tag in _NOT_TEXT or tag in _NOT_ARTICLE or (names.get("role") or "").lower() in _ROLES or hidden
         if not unlikely and tag in _BLOCKS | {"span", "a", "ins"} and tag not in ("article", "main"):
             unlikely = bool(label and _UNLIKELY.search(label))
-        if unlikely:
-            self.cut.append(tag)
-            return
-        node = _Node(tag, self.at, likely, tag == "a" and "href" in names)
-        self.at.children.append(node)
+        node = _Node(tag, self.at, likely, tag == "a" and "href" in names, bool(unlikely) or self.at.cut)
+        if not node.cut:
+            self.at.children.append(node)
         self.at = node
 
     def handle_startendtag(self, tag, attrs):
@@ -98,7 +99,12 @@ class _Tree(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def _make_room(self, tag):
-        """Close what the start of a block ends: an open paragraph with its inline elements, a list item, a table cell."""
+        """Close what the start of a block ends: an open paragraph with its inline elements, a list item, a table cell, the head."""
+        node = self.at
+        while node.parent is not None and node.tag != "head":
+            node = node.parent
+        if node.tag == "head":
+            self.at = node.parent
         if tag in _ENDS_P:
             node = self.at
             while node.parent is not None and node.tag not in _BLOCKS:
@@ -116,9 +122,7 @@ class _Tree(HTMLParser):
                 self.at = found.parent
 
     def handle_endtag(self, tag):
-        if self.cut:
-            if tag == self.cut[0]:
-                self.cut.pop()
+        if self.at.tag in _OPAQUE and tag != self.at.tag:
             return
         node = self.at
         while node.parent is not None and node.tag != tag:
@@ -130,7 +134,7 @@ class _Tree(HTMLParser):
             self.at = node.parent
 
     def handle_data(self, data):
-        if not self.cut:
+        if not self.at.cut:
             self.at.children.append(data)
 
 

@@ -30,6 +30,14 @@ def test_main_text(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("cut", [
+    '<p class="ad">Buy', '<ul><li class="share">Share</ul>', '<div><div class="menu"><span>Menu</div></div>', '<div><p class="promo">Buy</div>',
+    '<table><tr><td class="ad">Buy<tr><td></table>', "<head><title>Head</title><meta name='x'>", "<div><button>Press</div>", "<select><option>a<option>b</select>",
+])
+def test_cut_elements_end_as_others_do(cut):
+    assert html.main_text(f"{cut}<p>{PARAGRAPH}<p>more of it.</p>") == f"{PARAGRAPH}\nmore of it."
+
+
 def test_main_text_survives_broken_and_deep_markup():
     assert html.main_text("<div>" * 5000 + "deep, text") == "deep, text"
     assert html.main_text("</p></div><b>bold<i>both</b> tail") == "boldboth tail"
