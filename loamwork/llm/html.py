@@ -3,7 +3,9 @@
 A page becomes a tree of blocks. Each paragraph passes points for its length and its commas to its ancestors, less with
 each level; a container's points are discounted by the share of its text that lies in links. The best container and those of
 its siblings that read like it are kept. What is never article text (menus, headers, footers, forms, scripts, styles, notices,
-adverts, sidebars, reader comments) is cut from the tree first, by element, role or the words of its class and id.
+adverts, sidebars, reader comments) is cut from the tree first, by element, role or the words of its class and id. A block
+stays, to be judged by its score, when another name of its class or id is an article's, or when it holds most of the page's
+paragraph text outside links and no article is named elsewhere.
 
 Null and empty html, and pages without text, give an empty text. Markup that is not closed, or closed out of order, is closed
 where its parent or a following block ends it. Repeated rows give repeated results; columns other than page_id,
@@ -51,10 +53,10 @@ _PARAGRAPHS = {"p", "pre", "td", "blockquote", "li", "dd", "h1", "h2", "h3", "h4
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "score", "likely", "link", "n_text", "n_link", "cut")
+    __slots__ = ("tag", "parent", "children", "score", "likely", "link", "n_text", "n_link", "cut", "doubted")
 
     def __init__(self, tag, parent, likely=0, link=False, cut=False):
-        self.cut = cut
+        self.cut, self.doubted = cut, False
         self.tag, self.parent, self.children, self.score = tag, parent, [], 0.0
         self.likely, self.link, self.n_text, self.n_link = likely, link, 0, 0
 
@@ -66,6 +68,7 @@ class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = _Node("body", None)
+        self.doubted: list[_Node] = []
 
     def handle_starttag(self, tag, attrs):
         if self.at.tag in _OPAQUE:
@@ -87,11 +90,19 @@ class _Tree(HTMLParser):
         hidden = "hidden" in names or names.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", names.get("style") or "")
         # A page header is cut, an article's own heading group is not told from it by its element.
         unlikely = tag in _NOT_TEXT or tag in _NOT_ARTICLE or (names.get("role") or "").lower() in _ROLES or hidden
-        if not unlikely and tag in _BLOCKS | {"span", "a", "ins"} and tag not in ("article", "main"):
-            unlikely = bool(label and _UNLIKELY.search(label))
+        doubted = False
+        if not unlikely and tag in _BLOCKS | {"span", "a", "ins"} and tag not in ("article", "main") and label and _UNLIKELY.search(label):
+            # A wrapper may be named after what stands beside its article.
+            if tag not in _BLOCKS:
+                unlikely = True
+            else:
+                doubted = not any(_LIKELY.search(name) and not _UNLIKELY.search(name) for name in label.split())
         node = _Node(tag, self.at, likely, tag == "a" and "href" in names, bool(unlikely) or self.at.cut)
         if not node.cut:
             self.at.children.append(node)
+            node.doubted = doubted
+            if doubted:
+                self.doubted.append(node)
         self.at = node
 
     def handle_startendtag(self, tag, attrs):
@@ -174,6 +185,46 @@ def _density(node: _Node) -> float:
     return node.n_link / node.n_text if node.n_text else 0.0
 
 
+def _settle(root: _Node) -> None:
+    """Cut the doubted blocks that don't hold the page's main text, outer ones first."""
+    stack, order = [root], []
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(c for c in node.children if isinstance(c, _Node))
+    # Lengths of text in paragraphs, of the part in links, of that in articles by name, of that outside doubted blocks, and of
+    # that in articles within doubted blocks. A doubted block is no part of the article around it.
+    held: dict[_Node, tuple[int, ...]] = {}
+    for node in reversed(order):
+        inner = [held[c] for c in node.children if isinstance(c, _Node)]
+        text, linked, likely, plain, within = map(sum, zip(*inner)) if inner else (0, 0, 0, 0, 0)
+        if node.tag in _BLOCKS:
+            own = len(_own_text(node))
+            own = own if node.tag in _PARAGRAPHS or own >= 25 else 0
+            text, plain = text + own, plain + own
+        if node.link:
+            linked = sum(len(c) for c in node.children if isinstance(c, str)) + linked
+        if node.doubted:
+            plain, within = 0, likely
+        elif node.likely:
+            likely = plain + within
+        held[node] = (text, linked, likely, plain, within)
+    text, _, likely, _, _ = held[root]
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        kept = []
+        for child in node.children:
+            if isinstance(child, _Node):
+                if child.doubted:
+                    inside, linked, named, _, _ = held[child]
+                    if 2 * inside <= text or 4 * linked > inside or 10 * (likely - named) > inside:
+                        continue
+                stack.append(child)
+            kept.append(child)
+        node.children = kept
+
+
 def _chosen(root: _Node) -> list[_Node]:
     """The best container and the siblings that belong to it, in page order."""
     order = _measure(root)
@@ -250,6 +301,8 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    if tree.doubted:
+        _settle(tree.root)
     return "\n".join(t for node in _chosen(tree.root) for t in _blocks(node))
 
 

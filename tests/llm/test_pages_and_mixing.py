@@ -38,6 +38,17 @@ def test_cut_elements_end_as_others_do(cut):
     assert html.main_text(f"{cut}<p>{PARAGRAPH}<p>more of it.</p>") == f"{PARAGRAPH}\nmore of it."
 
 
+@pytest.mark.parametrize("label", ["content with-sidebar", "page has-sidebar", "layout menu-open", "main-content share-open"])
+def test_wrappers_named_after_a_part_keep_their_article(label):
+    body = f"<p>{PARAGRAPH}</p>" * 3
+    side = f"<div class='sidebar'><p>{PARAGRAPH} beside it</p></div><ul class='menu'><li><a href='x'>Menu of the page</a></ul>"
+    assert html.main_text(f"<div class='{label}'>{body}{side}</div>") == "\n".join([PARAGRAPH] * 3)
+    assert html.main_text(f"<div class='{label}'><article>{body}</article>{side}</div>") == "\n".join([PARAGRAPH] * 3)
+
+    nested = f"<article><p>{PARAGRAPH}</p><div class='comments'>{body}</div></article>"
+    assert html.main_text(nested) == html.main_text(f"<div class='{label}'>{nested}</div>") == PARAGRAPH
+
+
 def test_main_text_survives_broken_and_deep_markup():
     assert html.main_text("<div>" * 5000 + "deep, text") == "deep, text"
     assert html.main_text("</p></div><b>bold<i>both</b> tail") == "boldboth tail"
