@@ -13,11 +13,12 @@ dropped. Rows with equal or null doc_id are ordered by their content. Extra colu
 
 from __future__ import annotations
 
-from math import ceil, log
+from math import ceil, gcd, isqrt, log
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from loamwork.llm.common import query, stored, table
+from loamwork.operators.joins import broadcast_if_small
 
 
 def tempered_weights(counts: DataFrame, period: int, exponent: float = 0.5) -> DataFrame:
@@ -38,23 +39,44 @@ def tempered_weights(counts: DataFrame, period: int, exponent: float = 0.5) -> D
 def schedule(weights: DataFrame, period: int) -> DataFrame:
     """(source, weight, block, slot): which block of which source each slot of one period issues.
 
-    ``weights`` is a mixture's configuration: one row per source, integers that sum to ``period``. It is folded in one row.
+    ``weights`` has one row per source, integers that sum to ``period``. Sources of equal weight are scheduled as one, by
+    deadlines, and its blocks are dealt to them in turn: n of them deviate by less than 1/n from the whole's share, which adds
+    up to less than one block. Only the distinct weights reach the driver, and no row holds the schedule of all slots.
     """
-    config = weights.agg(F.sort_array(F.collect_list(F.struct("source", "weight"))).alias("s")).where(F.size("s") > 0)
-    # State: blocks issued per source, and the source of each slot so far.
-    step = f"""
-        (state, t) -> transform(array(array_min(filter(
-            transform(s, (x, i) -> named_struct(
-                'due', ((state.issued[i] + 1) * {period} + x.weight - 1) div x.weight, 'i', i,
-                'free', (state.issued[i] * {period}) div x.weight <= t AND state.issued[i] < x.weight)),
-            c -> c.free)).i), best -> named_struct(
-                'issued', transform(state.issued, (n, i) -> IF(i = best, n + 1, n)),
-                'picks', array_append(state.picks, named_struct('i', best, 'block', state.issued[best]))))[0]"""
-    start = "named_struct('issued', transform(s, x -> 0L), 'picks', CAST(array() AS array<struct<i:int,block:bigint>>))"
-    folded = config.select("s", F.expr(f"aggregate(sequence(0L, {period - 1}L), {start}, {step}).picks").alias("picks"))
-    picked = folded.select("s", F.posexplode("picks").alias("slot", "pick"))
-    source = F.col("s")[F.col("pick.i")]
-    return picked.select(source["source"].alias("source"), source["weight"].alias("weight"), F.col("pick.block").alias("block"), F.col("slot").cast("bigint").alias("slot"))
+    used = weights.where("weight > 0")
+    classes = sorted((r["weight"], r["n"]) for r in used.groupBy("weight").agg(F.count(F.lit(1)).alias("n")).collect())
+    totals = [w * n for w, n in classes]
+    times = gcd(*totals) or 1
+    slots, totals = period // times, [t // times for t in totals]
+    if not classes:
+        return used.select("source", "weight", F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("slot"))
+    part = max(1000, isqrt(slots))
+    shares = f"array({', '.join(f'{t}L' for t in totals)})"
+    # The released block with the earliest deadline; the state is blocks issued per class.
+    best = f"""array_min(filter(transform({shares}, (w, i) -> named_struct(
+        'due', ((state.issued[i] + 1) * {slots} + w - 1) div w, 'i', i,
+        'free', (state.issued[i] * {slots}) div w <= t AND state.issued[i] < w)), c -> c.free)).i"""
+    after = "transform(state.issued, (n, i) -> IF(i = best, n + 1, n))"
+    # States at the start of each part, from which the parts are scheduled by themselves.
+    marks = f"""aggregate(sequence(0L, {slots - 1}L),
+        named_struct('issued', transform({shares}, w -> 0L), 'marks', CAST(array() AS array<struct<t:bigint,issued:array<bigint>>>)),
+        (state, t) -> transform(array({best}), best -> named_struct('issued', {after}, 'marks',
+            IF(t % {part} = 0, array_append(state.marks, named_struct('t', t, 'issued', state.issued)), state.marks)))[0]).marks"""
+    picks = f"""aggregate(sequence(mark.t, least(mark.t + {part - 1}, {slots - 1}L)),
+        named_struct('issued', mark.issued, 'picks', CAST(array() AS array<struct<i:int,k:bigint>>)),
+        (state, t) -> transform(array({best}), best -> named_struct('issued', {after}, 'picks',
+            array_append(state.picks, named_struct('i', best, 'k', state.issued[best]))))[0]).picks"""
+    starts = weights.sparkSession.range(1).select(F.explode(F.expr(marks)).alias("mark"))
+    picked = starts.select("mark", F.posexplode(F.expr(picks)).alias("at", "pick")).select(
+        F.col("pick.i").alias("_class"), F.col("pick.k").alias("_k"), (F.col("mark.t") + F.col("at")).alias("_at")
+    )
+    listed = weights.sparkSession.createDataFrame([(i, w, n, t) for i, ((w, n), t) in enumerate(zip(classes, totals))], "_class int, weight bigint, _n bigint, _total bigint")
+    turn = F.row_number().over(Window.partitionBy("weight").orderBy("source")) - 1
+    blocks = used.withColumn("_turn", turn).join(F.broadcast(listed), "weight").withColumn("block", F.explode(F.expr("sequence(0L, weight - 1L)")))
+    issue = F.col("block") * F.col("_n") + F.col("_turn")
+    return blocks.withColumns({"_k": F.expr("(block * _n + _turn) % _total"), "_round": F.floor(issue / F.col("_total"))}).join(picked, ["_class", "_k"]).select(
+        "source", "weight", "block", (F.col("_round") * slots + F.col("_at")).cast("bigint").alias("slot")
+    )
 
 
 def _ranked(docs: DataFrame, rows: int) -> DataFrame:
@@ -75,10 +97,11 @@ def _ranked(docs: DataFrame, rows: int) -> DataFrame:
     ).drop("_order", "_bucket", "_place", "_start", "_tie")
 
 
-def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int = 64, period: int = 1000, exponent: float = 0.5) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int = 64, period: int | None = None, exponent: float = 0.5) -> DataFrame:
     """``docs`` with the place of every row in the mixture; the mixture is read in the order of (mix_slot, mix_place).
 
-    ``weights`` are integers per source; without them they are tempered by the sources' sizes. Sources without a weight
+    ``weights`` are integers per source; without them they are tempered by the sources' sizes, in a
+    period of 1,000 slots for every 500 sources begun unless another is asked for. Sources without a weight
     get a null slot. ``mix_full`` is true up to the slot where the first source lacks its block: there the targets hold.
     """
     spark = docs.sparkSession
@@ -88,6 +111,8 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int
     counts = stored(keyed.groupBy(F.col("_key").alias("source")).agg(F.count(F.lit(1)).alias("n")), "source-sizes")
     if weights is None:
         n_sources = counts.count()
+        if period is None:
+            period = 1000 * max(1, ceil(n_sources / 500))
         if n_sources > period:
             raise ValueError(f"{n_sources} sources need a period of at least as many slots")
         target = tempered_weights(counts, period, exponent)
@@ -104,9 +129,9 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int
     total = counts.agg(F.max("n")).first()[0] or 0
     numbered = _ranked(keyed, total).withColumn("mix_block", block)
     shares = plan.select(F.col("source").alias("_key"), F.col("weight").alias("_weight")).distinct()
-    within = numbered.join(F.broadcast(shares), "_key", "left").withColumn("_in", F.col("mix_block") % F.col("_weight"))
+    within = numbered.join(broadcast_if_small(shares), "_key", "left").withColumn("_in", F.col("mix_block") % F.col("_weight"))
     # One row per slot of a period.
-    slots = F.broadcast(plan.select(F.col("source").alias("_key"), F.col("block").alias("_in"), F.col("slot").alias("_slot")))
+    slots = broadcast_if_small(plan.select(F.col("source").alias("_key"), F.col("block").alias("_in"), F.col("slot").alias("_slot")))
     placed = within.join(slots, ["_key", "_in"], "left").withColumns({
         "mix_slot": F.floor(F.col("mix_block") / F.col("_weight")) * period + F.col("_slot"), "mix_place": F.col("_rank") % block_rows,
     })

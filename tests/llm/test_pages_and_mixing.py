@@ -136,6 +136,23 @@ def test_mixture_of_rows(spark):
     assert all(-(-counts[s] // 4) == len({r.mix_block for r in mixed if r.source == s}) for s in counts)
 
 
+def test_mixture_of_more_sources_than_slots(spark):
+    rows = [(i, f"s{i % 2400 if i % 3 else i % 7}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string")
+    mixed = mixing.mix(docs, block_rows=2).collect()
+    assert sorted((r.doc_id, r.source) for r in mixed) == sorted(rows) and all(r.mix_slot is not None for r in mixed)
+    counts = docs.groupBy("source").agg(F.count("*").alias("n"))
+    weights = mixing.tempered_weights(counts, 3000).localCheckpoint()
+    plan = sorted(mixing.schedule(weights, 3000).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in plan] == list(range(3000)) and len({r.source for r in plan}) == counts.count() > 1000
+    issued = defaultdict(int)
+    for r in plan:
+        # Just before and just after its blocks a source deviates most.
+        assert r.block == issued[r.source] and abs(r.block - r.slot * r.weight / 3000) < 1
+        issued[r.source] += 1
+        assert abs(issued[r.source] - (r.slot + 1) * r.weight / 3000) < 1
+
+
 def test_mixture_of_odd_rows(spark):
     rows = [(1, None, None, 7), (2, "", "a", 1), (3, "x", "a", 1), (3, "x", "a", 1), (None, "x", "b", 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, weight int")
