@@ -1,4 +1,4 @@
 """The queries of this subpackage and their SQL; importing a module registers its query."""
 
-from loamwork.llm import decontaminate, fingerprints, html, jaccard, language, lines, manifest, mixing, toxicity, urls, warc  # noqa: F401
+from loamwork.llm import decontaminate, divergence, fingerprints, html, jaccard, language, lines, manifest, mixing, quality, toxicity, urls, warc  # noqa: F401
 from loamwork.llm.common import ORACLES, QUERIES  # noqa: F401
