@@ -29,7 +29,7 @@ FANOUT, RUNS_PER_SALT = 16, 256
 FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
 #: The tree over the sources' roots; trees of sources count from 0.
 _TOP = -1
-_NODE = "node string, children array<string>, digest string, up string, slot int, below bigint, top boolean"
+_NODE = "node string, children binary, digest binary, up string, slot int, below bigint, top boolean"
 
 
 def digest(*values: Column) -> Column:
@@ -41,8 +41,26 @@ def digest(*values: Column) -> Column:
     return F.sha2(F.concat(*map(field, values)).cast("binary"), 256)
 
 
+def _text(digests: Column) -> Column:
+    """Digests travel as bytes, one after the other, and are hashed as lower-case hexadecimal text."""
+    return F.lower(F.hex(digests))
+
+
+def _hashed(digests: Column) -> Column:
+    return F.unhex(F.sha2(_text(digests).cast("binary"), 256))
+
+
 def _joined(digests: Column) -> Column:
-    return F.sha2(F.array_join(digests, "").cast("binary"), 256)
+    """The digests of an array, one after the other."""
+    return F.unhex(F.array_join(F.transform(digests, lambda d: F.hex(d)), ""))
+
+
+def _before(joined: Column, at: Column) -> Column:
+    return F.substring(joined, F.lit(1), 32 * at)
+
+
+def _after(joined: Column, at: Column) -> Column:
+    return F.substring(joined, 32 * at + 33, F.lit(32 * FANOUT))
 
 
 def _name(tree: Column, level: int | Column, pos: Column) -> Column:
@@ -63,7 +81,7 @@ def _grown(bottom: DataFrame, sizes: DataFrame, most: int, above) -> tuple[list[
         runs = nodes.where("n > 1").groupBy("tree", F.expr(f"pos div {FANOUT}").alias("run"), F.expr(f"(n + {FANOUT - 1}) div {FANOUT}").alias("n")).agg(
             F.sort_array(F.collect_list(F.struct("pos", "digest"))).alias("kids"), F.sum("below").alias("below")
         )
-        made = runs.select("tree", F.col("run").alias("pos"), "n", "below", F.col("kids.digest").alias("children"), _joined(F.col("kids.digest")).alias("digest"))
+        made = runs.select("tree", F.col("run").alias("pos"), "n", "below", _joined(F.col("kids.digest")).alias("children")).withColumn("digest", _hashed(F.col("children")))
         last = F.col("n") == 1
         linked = made.select(
             "tree", "pos", "n", _name(F.col("tree"), level, F.col("pos")).alias("node"), "children", "digest",
@@ -89,7 +107,7 @@ def _any_number_of_rows(spark: SparkSession):
 
 
 def build(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(nodes, runs) of ``leaves`` (doc_id, source, leaf, found), where ``found`` is the digest of the row as it was found.
+    """(nodes, runs) of ``leaves`` (doc_id, source, leaf, found): digests as bytes, ``found`` that of the row as it was found, null if the same.
 
     nodes: every inner node with its children and the link to its parent; the root has none. runs: the leaves, 16 a row as the
     lowest nodes join them, with the link of the node that joins them; the leaf of a source of one row links for itself.
@@ -108,7 +126,7 @@ def build(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
         "merkle-runs",
     )
     # The lowest inner node of a run stands for it; a source of one row is its own root.
-    joined = F.when(F.col("n") > 1, _joined(F.col("leaves.leaf"))).otherwise(F.col("leaves")[0]["leaf"])
+    joined = F.when(F.col("n") > 1, _hashed(_joined(F.col("leaves.leaf")))).otherwise(F.col("leaves")[0]["leaf"])
     bottom = runs.select("tree", F.col("run").alias("pos"), joined.alias("digest"), F.lit(1).cast("bigint").alias("below"))
     sizes = sources.select("tree", F.expr(f"(n + {FANOUT - 1}) div {FANOUT}").alias("n"))
 
@@ -143,10 +161,10 @@ WITH RECURSIVE climb (tree, run, folded, above, subroot, root, up, slot, salt) A
     SELECT tree, run, folded, above, subroot, root, up, slot, salt FROM {start}
   UNION ALL
     SELECT c.tree, c.run,
-        transform(c.folded, f -> sha2(concat(
-            array_join(slice(p.children, 1, c.slot), ''), f, array_join(slice(p.children, c.slot + 2, 16), '')), 256)),
-        concat(c.above, array_join(slice(p.children, 1, c.slot), ''), array_join(slice(p.children, c.slot + 2, 16), '')),
-        coalesce(c.subroot, IF(p.top, p.children[c.slot], NULL)),
+        transform(c.folded, f -> unhex(sha2(lower(hex(
+            concat(substring(p.children, 1, 32 * c.slot), f, substring(p.children, 32 * c.slot + 33)))), 256))),
+        concat(c.above, substring(p.children, 1, 32 * c.slot), substring(p.children, 32 * c.slot + 33)),
+        coalesce(c.subroot, IF(p.top, substring(p.children, 32 * c.slot + 1, 32), NULL)),
         p.digest, p.up, p.slot, CAST(pmod(c.run, p.salts_above) AS INT)
     FROM climb c JOIN {nodes} p ON c.up = p.node AND c.salt = p.salt
 )
@@ -169,31 +187,33 @@ def prove(nodes: DataFrame, runs: DataFrame) -> DataFrame:
         .withColumn("salt", F.explode(F.sequence(F.lit(0), (F.col("salts") - 1).cast("int")))).select("node", "salt", "children", "digest", "up", "slot", "salts_above", "top"),
         "merkle-nodes",
     )
-    whole = F.col("leaves.leaf")
-    found = F.transform("leaves", lambda leaf, i: F.sha2(
-        F.concat(F.array_join(F.slice(whole, F.lit(1), i), ""), leaf["found"], F.array_join(F.slice(whole, i + 2, FANOUT), "")).cast("binary"), 256
-    ))
+    # The digests of a run's leaves are joined once, as a column of their own.
+    joined = runs.withColumn("joined", _joined(F.col("leaves.leaf")))
+    shown = F.transform("leaves", lambda leaf: F.coalesce(leaf["found"], leaf["leaf"]))
+    folded = F.transform(shown, lambda f, i: _hashed(F.concat(_before(F.col("joined"), i), f, _after(F.col("joined"), i))))
     # A run of one leaf is hashed too, unless it is all of its source.
-    single = (F.size("leaves") == 1) & (F.col("digest") == whole[0])
-    start = stored(runs.join(widths, "up", "left").select(
-        "tree", "run", F.when(single, F.col("leaves.found")).otherwise(found).alias("folded"), F.lit("").alias("above"),
-        F.lit(None).cast("string").alias("subroot"), F.col("digest").alias("root"), "up", "slot", F.pmod("run", one).cast("int").alias("salt"),
+    single = (F.size("leaves") == 1) & (F.col("digest") == F.col("joined"))
+    start = stored(joined.join(widths, "up", "left").select(
+        "tree", "run", F.when(single, shown).otherwise(folded).alias("folded"), F.lit("").cast("binary").alias("above"),
+        F.lit(None).cast("binary").alias("subroot"), F.col("digest").alias("root"), "up", "slot", F.pmod("run", one).cast("int").alias("salt"),
     ), "merkle-start")
     with _any_number_of_rows(spark):
         ends = stored(spark.sql(_CLIMB, start=start, nodes=climbed), "merkle-climbed")
-    rows = runs.select("tree", "run", "leaves").join(ends, ["tree", "run"])
-    siblings = F.concat(F.array_join(F.slice("digests", F.lit(1), F.col("at")), ""), F.array_join(F.slice("digests", F.col("at") + 2, FANOUT), ""), "above")
-    return rows.select("folded", "above", "subroot", "root", whole.alias("digests"), F.posexplode("leaves").alias("at", "row")).select(
-        "row.doc_id", "row.leaf", "row.found", "subroot", "root", F.sha2(siblings.cast("binary"), 256).alias("proof_sha256"),
-        F.col("folded")[F.col("at")].alias("folded_root"), (F.col("folded")[F.col("at")] == F.col("root")).alias("verified"),
+    rows = joined.select("tree", "run", "leaves", "joined").join(ends, ["tree", "run"])
+    at, end = F.col("at"), F.col("folded")[F.col("at")]
+    siblings = F.concat(_before(F.col("joined"), at), _after(F.col("joined"), at), "above")
+    return rows.select("folded", "above", "subroot", "root", "joined", F.posexplode("leaves").alias("at", "row")).select(
+        "row.doc_id", _text(F.col("row.leaf")).alias("leaf"), _text(F.coalesce("row.found", "row.leaf")).alias("found"), _text(F.col("subroot")).alias("subroot"),
+        _text(F.col("root")).alias("root"), F.sha2(_text(siblings).cast("binary"), 256).alias("proof_sha256"),
+        _text(end).alias("folded_root"), (end == F.col("root")).alias("verified"),
     )
 
 
 def audit(docs: DataFrame, found: Column) -> DataFrame:
     """Proofs of all rows of ``docs`` (doc_id, source, lang, n_chars, text), whose text was later found to be ``found``."""
     fields = [F.col(c) for c in FIELDS]
-    leaves = docs.select("doc_id", "source", digest(*fields).alias("leaf"), digest(*fields[:-1], found).alias("found"))
-    return prove(*build(leaves))
+    changed = F.when(~found.eqNullSafe(F.col("text")), F.unhex(digest(*fields[:-1], found)))
+    return prove(*build(docs.select("doc_id", "source", F.unhex(digest(*fields)).alias("leaf"), changed.alias("found"))))
 
 
 _SQL = """
