@@ -77,48 +77,88 @@ class LinearModel:
     weights: list[float]
 
 
-def _descend(train: DataFrame, pull: Callable[[Column, Column], Column], iterations: int, step: float,
-             batch_fraction: float, regularisation: float) -> LinearModel:
-    """Mini-batch gradient descent: one aggregate of (label, features) rows per step, in the JVM.
+@dataclass(frozen=True)
+class Descent:
+    """Settings of one gradient descent; ``loss`` is "logistic" or "hinge"."""
+
+    loss: str
+    iterations: int
+    step: float
+    batch_fraction: float = 1.0
+    regularisation: float = 0.0
+
+    @property
+    def path(self) -> tuple:
+        """Descents that differ in the number of iterations alone share their path."""
+        return self.loss, self.step, self.batch_fraction, self.regularisation
+
+
+def _pull(loss: str, label: Column, margin: Column) -> Column:
+    """The factor of a row's features in the gradient, from its label and margin."""
+    if loss == "logistic":
+        return 1 / (1 + F.exp(-margin)) - label
+    sign = 2 * label - 1
+    return F.when(sign * margin < 1, -sign).otherwise(0.0)
+
 
-    ``pull`` gives the factor of a row's features in the gradient from its label and margin. Steps shrink with the square
-    root of their number. The batch of a step is drawn by a hash of the row and the step, so it is the same on any cluster.
+def descend(train: DataFrame, descents: Sequence[Descent], finished: Callable[[int], None] = lambda position: None) -> list[LinearModel]:
+    """Mini-batch gradient descents over (label, features) rows, all in step: one aggregate in the JVM moves every one of them.
+
+    A sweep takes as many jobs as its longest descent has iterations. Shorter ones on the same path are met on the way and not
+    descended again. Steps shrink with the square root of their number. The batch of a step is drawn by a hash of the row and the
+    step, so it is the same on any cluster. ``finished`` is told the position of each descent that has its weights.
     """
     size = train.select(F.size(vector_to_array("features")).alias("n")).first()["n"]
-    weights = np.zeros(size)
-    for t in range(1, iterations + 1):
-        drawn = F.pmod(F.xxhash64("features", "label", F.lit(t)), F.lit(1_000_000)) < int(batch_fraction * 1_000_000)
-        factor = pull(F.col("label").cast("double"), linear_margin(weights))
-        rows = train.where(drawn).select("features", factor.alias("w"))
-        # Weights of a weighted mean are not negative, nor all zero: up and down are averaged apart, each one higher.
-        up, down = (F.greatest("w", F.lit(0.0)) + 1).alias("up"), (F.greatest(-F.col("w"), F.lit(0.0)) + 1).alias("down")
-        sums = rows.select("features", up, down).agg(
-            Summarizer.mean(F.col("features"), F.col("up")).alias("up_mean"), Summarizer.mean(F.col("features"), F.col("down")).alias("down_mean"),
-            F.sum("up").alias("ups"), F.sum("down").alias("downs"), F.count(F.lit(1)).alias("n"),
-        ).first()
-        if not sums["n"]:
-            continue
-        gradient = sums["ups"] * sums["up_mean"].toArray() - sums["downs"] * sums["down_mean"].toArray()
-        rate = step / t**0.5
-        weights = weights * (1 - rate * regularisation) - rate * gradient / sums["n"]
-    return LinearModel(weights.tolist())
+    longest: dict[tuple, int] = {}
+    for d in descents:
+        longest[d.path] = max(longest.get(d.path, 0), d.iterations)
+    weights = {path: np.zeros(size) for path in longest}
+    models: list[LinearModel | None] = [LinearModel([0.0] * size) if not d.iterations else None for d in descents]
+    for t in range(1, max(longest.values(), default=0) + 1):
+        live = [path for path, iterations in longest.items() if t <= iterations]
+        draw = F.pmod(F.xxhash64("features", "label", F.lit(t)), F.lit(1_000_000))
+        rows = train.select("features", F.col("label").cast("double").alias("label"), draw.alias("draw"))
+        sums = []
+        for k, path in enumerate(live):
+            loss, _, fraction, _ = path
+            drawn = F.col("draw") < int(fraction * 1_000_000)
+            rows = rows.withColumn(f"w{k}", F.when(drawn, _pull(loss, F.col("label"), linear_margin(weights[path]))).otherwise(0.0))
+            # Weights of a weighted mean are not negative, nor all zero: up and down are averaged apart, each one higher.
+            up, down = F.greatest(F.col(f"w{k}"), F.lit(0.0)) + 1, F.greatest(-F.col(f"w{k}"), F.lit(0.0)) + 1
+            sums += [
+                Summarizer.mean(F.col("features"), up).alias(f"up_mean{k}"), Summarizer.mean(F.col("features"), down).alias(f"down_mean{k}"),
+                F.sum(up).alias(f"ups{k}"), F.sum(down).alias(f"downs{k}"), F.count_if(drawn).alias(f"n{k}"),
+            ]
+        found = rows.agg(*sums).first()
+        for k, path in enumerate(live):
+            if found[f"n{k}"]:
+                _, step, _, regularisation = path
+                gradient = found[f"ups{k}"] * found[f"up_mean{k}"].toArray() - found[f"downs{k}"] * found[f"down_mean{k}"].toArray()
+                rate = step / t**0.5
+                weights[path] = weights[path] * (1 - rate * regularisation) - rate * gradient / found[f"n{k}"]
+        for i, d in enumerate(descents):
+            if d.iterations == t:
+                models[i] = LinearModel(weights[d.path].tolist())
+                finished(i)
+    return models
+
+
+def logistic_descent(iterations: int = 15, step: float = 10.0, batch_fraction: float = 0.5) -> Descent:
+    return Descent("logistic", iterations, step, batch_fraction)
+
+
+def hinge_descent(iterations: int = 3, step: float = 50.0, regularisation: float = 1.0) -> Descent:
+    return Descent("hinge", iterations, step, 1.0, regularisation)
 
 
 def sgd_logistic(train: DataFrame, iterations: int = 15, step: float = 10.0, batch_fraction: float = 0.5) -> LinearModel:
     """Logistic regression by mini-batch gradient descent, with its own knobs."""
-    def pull(label, margin):
-        return 1 / (1 + F.exp(-margin)) - label
-
-    return _descend(train, pull, iterations, step, batch_fraction, 0.0)
+    return descend(train, [logistic_descent(iterations, step, batch_fraction)])[0]
 
 
 def sgd_svm(train: DataFrame, iterations: int = 3, step: float = 50.0, regularisation: float = 1.0) -> LinearModel:
     """Linear SVM: hinge-loss gradient descent over all rows with an L2 penalty; see :func:`linear_svm` for the default."""
-    def pull(label, margin):
-        sign = 2 * label - 1
-        return F.when(sign * margin < 1, -sign).otherwise(0.0)
-
-    return _descend(train, pull, iterations, step, 1.0, regularisation)
+    return descend(train, [hinge_descent(iterations, step, regularisation)])[0]
 
 
 def linear_margin(weights: Sequence[float], features: str = "features") -> Column:
@@ -128,6 +168,12 @@ def linear_margin(weights: Sequence[float], features: str = "features") -> Colum
     return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
 
+def linear_predictions(models: Sequence[LinearModel], df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """(kept columns, position, prediction): the 0/1 predictions of many linear models in one pass, one row per model."""
+    calls = F.array(*[(linear_margin(m.weights) > 0).cast("double") for m in models])
+    return df.select(*keep, F.posexplode(calls).alias("position", "prediction"))
+
+
 def sgd_predict(model: LinearModel, df: DataFrame) -> DataFrame:
     """Add the 0/1 prediction of a descended model: margin above 0, probability above one half alike."""
     return df.withColumn("prediction", (linear_margin(model.weights) > 0).cast("double"))

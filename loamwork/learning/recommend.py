@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamwork.learning.estimators import SEED
+from loamwork.learning.serving import top_lists
 from loamwork.operators.aggregates import distinct_counts
 from loamwork.operators.joins import lookup_join
 from loamwork.operators.positions import dense_index
@@ -70,19 +71,30 @@ def _exploded(lists: DataFrame, key: str, other: str) -> DataFrame:
     )
 
 
+def _searched(asked: DataFrame, own: DataFrame, key: str, other_factors: DataFrame, other: str, n: int) -> DataFrame:
+    """Lists of the given ids by exact search; ids without a factor have none."""
+    known = asked.select(F.col(key).cast("int").alias("id")).distinct().join(own, "id")
+    found = top_lists(known, other_factors, n)
+    return found.select(F.col("id").alias(key), "place", F.col("other").alias(other), "score")
+
+
 def top_items(model: ALSModel, n: int, users: DataFrame | None = None) -> DataFrame:
-    """(user_id, place, item_id, score) of the best items for the given users.
+    """(user_id, place, item_id, score) of the best items for the given users, by search in blocks of falling norm.
 
     Without ``users`` it is a batch job over all of them: every user block meets every item block, users x items scores.
     """
-    lists = model.recommendForAllUsers(n) if users is None else model.recommendForUserSubset(users, n)
-    return _exploded(lists, model.getUserCol(), model.getItemCol())
+    user, item = model.getUserCol(), model.getItemCol()
+    if users is None:
+        return _exploded(model.recommendForAllUsers(n), user, item)
+    return _searched(users, model.userFactors, user, model.itemFactors, item, n)
 
 
 def top_users(model: ALSModel, n: int, items: DataFrame | None = None) -> DataFrame:
     """(item_id, place, user_id, score) of the best users for the given items; all items is a batch job as in :func:`top_items`."""
-    lists = model.recommendForAllItems(n) if items is None else model.recommendForItemSubset(items, n)
-    return _exploded(lists, model.getItemCol(), model.getUserCol())
+    user, item = model.getUserCol(), model.getItemCol()
+    if items is None:
+        return _exploded(model.recommendForAllItems(n), item, user)
+    return _searched(items, model.itemFactors, item, model.userFactors, user, n)
 
 
 def with_titles(recommended: DataFrame, items: DataFrame, item: str = "item_id") -> DataFrame:

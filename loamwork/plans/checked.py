@@ -178,10 +178,11 @@ def random_split_once(t):
     return parts[0].unionAll(parts[1]).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _served_sql(key: str) -> str:
+def _served_sql(key: str, other: str) -> str:
     return f"""
-WITH {derived.RATINGS_SQL}, asked AS (SELECT {key} FROM ratings GROUP BY {key} ORDER BY count(*) DESC, {key} LIMIT 100)
-SELECT CAST({key} AS INTEGER) AS {key}, CAST(10 AS BIGINT) AS n, true AS in_order, true AS is_product FROM asked"""
+WITH {derived.RATINGS_SQL}
+SELECT CAST({key} AS INTEGER) AS {key}, least(10, (SELECT count(DISTINCT {other}) FROM ratings)) AS n, true AS in_order, true AS is_product
+FROM ratings WHERE {key} % 20 = 0 GROUP BY {key}"""
 
 
 def _served(model, lists: DataFrame, key: str, other: str) -> DataFrame:
@@ -198,14 +199,14 @@ def _served(model, lists: DataFrame, key: str, other: str) -> DataFrame:
     )
 
 
-@query("v07_places_of_items", _served_sql("user_id"))
+@query("v07_places_of_items", _served_sql("user_id", "item_id"))
 def places_of_items(t):
     ratings = recommending.ratings_of(t)
     model = recommend.train(ratings, iterations=10)
     return _served(model, recommend.top_items(model, 10, recommending.asked(ratings, "user_id")), "user_id", "item_id")
 
 
-@query("v08_places_of_users", _served_sql("item_id"))
+@query("v08_places_of_users", _served_sql("item_id", "user_id"))
 def places_of_users(t):
     ratings = recommending.ratings_of(t)
     model = recommend.train(ratings, iterations=10)

@@ -10,7 +10,8 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.sql import DataFrame, Window, functions as F
 
-from loamwork.learning import estimators, evaluate, features, recommend, tune
+from loamwork.learning import estimators, evaluate, features, recommend, rules, sweeps, tune
+from loamwork.operators.splits import hash_bucket
 from loamwork.plans import derived
 from loamwork.plans.registry import query
 from loamwork.workspace import held, shared_dir, spread
@@ -33,6 +34,12 @@ def _sweep_documents(t, estimator, grid, scale=None):
     return tune.sweep_estimator(estimator, rows["train"], rows["validation"], _auc, grid, larger_is_better=True)
 
 
+def _sweep_trees(t, grid):
+    """One growth per impurity and number of bins, all settings judged at once."""
+    rows = _document_features(t)
+    return sweeps.sweep_trees(estimators.tree_classifier(), rows["train"], rows["validation"], evaluate.hard_label_auc, grid, larger_is_better=True)
+
+
 def _axes(axes, **usual):
     """Every value of each axis, one axis at a time, the others at their usual values."""
     return [point for axis, values in axes.items() for point in tune.one_axis(axis, values, **{k: v for k, v in usual.items() if k != axis})]
@@ -81,7 +88,7 @@ def trial_facts(t):
 
 @query("g02_axis_sweep_tree")
 def axis_sweep_tree(t):
-    return _sweep_documents(t, estimators.tree_classifier(), _TREE_AXES).table(t.spark, "auc")
+    return _sweep_trees(t, _TREE_AXES).table(t.spark, "auc")
 
 
 @query("g02_tree_axis_facts", _grid_sql(_TREE_AXES))
@@ -89,25 +96,19 @@ def tree_axis_facts(t):
     return _held(axis_sweep_tree(t), "auc")
 
 
-def _sweep_sgd(t, train, grid):
+def _sweep_sgd(t, kind, grid):
     rows = _document_features(t, "standard")
-    with spread(rows["train"].select("label", "features")) as training, held(rows["validation"]) as validation:
-        done = tune.sweep(
-            lambda **settings: train(training, **settings),
-            lambda model: _auc(estimators.sgd_predict(model, validation)),
-            grid, larger_is_better=True,
-        )
-    return done.table(t.spark, "auc")
+    return sweeps.sweep_descents(kind, rows["train"], rows["validation"], evaluate.hard_label_auc, grid).table(t.spark, "auc")
 
 
 @query("g02b_axis_sweep_logistic", _grid_sql(_LOGISTIC_AXES))
 def axis_sweep_logistic(t):
-    return _held(_sweep_sgd(t, estimators.sgd_logistic, _LOGISTIC_AXES), "auc")
+    return _held(_sweep_sgd(t, estimators.logistic_descent, _LOGISTIC_AXES), "auc")
 
 
 @query("g02c_axis_sweep_svm", _grid_sql(_SVM_AXES))
 def axis_sweep_svm(t):
-    return _held(_sweep_sgd(t, estimators.sgd_svm, _SVM_AXES), "auc")
+    return _held(_sweep_sgd(t, estimators.hinge_descent, _SVM_AXES), "auc")
 
 
 @query("g02d_axis_sweep_bayes")
@@ -151,28 +152,38 @@ def bayes_metric_by_smoothing(t):
     return done.table(t.spark, "auc").select("grid_position", F.round("auc", 6).alias("auc"))
 
 
+def _factor_sweep(t):
+    parts = derived.rating_splits(t)
+    shared_dir(t.spark)
+    return sweeps.sweep_factors(recommend.factoriser(), parts["train"], parts["validation"], _ALS_AXES)
+
+
 @query("g02e_axis_sweep_factors", _grid_sql(_ALS_AXES))
 def axis_sweep_factors(t):
-    parts = derived.rating_splits(t)
+    return _held(_factor_sweep(t)[0].table(t.spark, "rmse"), "rmse", larger=False, top=10.0)
 
-    def error(scored):
-        return evaluate.one_number(evaluate.coverage_rmse(scored, parts["validation"], ["user_id", "item_id"]))
 
-    shared_dir(t.spark)
-    done = tune.sweep_estimator(
-        recommend.factoriser(), parts["train"], parts["validation"], error, _ALS_AXES, larger_is_better=False
-    )
-    return _held(done.table(t.spark, "rmse"), "rmse", larger=False, top=10.0)
+@query("g02e_predicted_pairs", f"""
+WITH {derived.RATINGS_SQL},
+parted AS (SELECT *, ('0x' || substr(md5(CAST(user_id AS VARCHAR) || ':' || CAST(item_id AS VARCHAR)), 1, 8))::BIGINT % 10 AS bucket FROM ratings),
+train AS (SELECT * FROM parted WHERE bucket < 8), judged AS (SELECT * FROM parted WHERE bucket = 8)
+SELECT CAST(range AS INTEGER) AS position, (SELECT count(*) FROM judged) AS n,
+  (SELECT count(*) FROM judged WHERE user_id IN (SELECT user_id FROM train) AND item_id IN (SELECT item_id FROM train)) AS n_predicted
+FROM range({len(_ALS_AXES)})""")
+def predicted_pairs(t):
+    """Per setting, the pairs to predict and those with both sides known."""
+    return _factor_sweep(t)[1]
 
 
 @query("g03_full_sweep", _grid_sql(_TREE_GRID))
 def full_sweep(t):
     """Every combination; the best model is kept and serves the test rows."""
     rows = _document_features(t)
-    done = tune.sweep_estimator(
-        estimators.tree_classifier(), rows["train"], rows["validation"], _auc, _TREE_GRID, larger_is_better=True
+    done = sweeps.sweep_trees(
+        estimators.tree_classifier(), rows["train"], rows["validation"], evaluate.hard_label_auc, _TREE_GRID, larger_is_better=True
     )
-    served = done.best.model.transform(rows["test"])
+    nodes, depth = done.best.model
+    served = rules.routed(rows["test"], nodes, depth).withColumnRenamed("value", "prediction")
     if not 0 <= _auc(served) <= 1:
         raise ValueError("the best model does not score")
     return _held(done.table(t.spark, "auc"), "auc")
@@ -237,7 +248,7 @@ def folds_boosted(t):
 
 @query("g07_metric_by_parameter")
 def metric_by_parameter(t):
-    table = _sweep_documents(t, estimators.tree_classifier(), _TREE_AXES).table(t.spark, "auc")
+    table = _sweep_trees(t, _TREE_AXES).table(t.spark, "auc")
     # Each axis in turn is the parameter of its own part of the sweep.
     parts, start = [], 0
     for axis, values in tune.TREE_AXES.items():
@@ -245,3 +256,46 @@ def metric_by_parameter(t):
         parts.append(own.select(F.lit(axis).alias("parameter"), F.col(axis).alias("value"), "auc", "seconds"))
         start += len(values)
     return reduce(DataFrame.unionAll, parts)
+
+
+#: Hours are dealt to three folds by their calendar place, so that SQL knows the folds.
+_FOLD_GRID = tune.settings_grid(maxDepth=[5, 10, 15, 25], maxBins=[25, 35, 45, 50])
+
+
+def _folded_hours(t):
+    hour = F.concat_ws(":", F.col("day_of_year").cast("string"), F.col("hr").cast("string"))
+    rows = derived.stored(t, derived.hours(t).withColumn("fold", hash_bucket(hour, 3).cast("int")), "folded-hours")
+    ready = Pipeline(stages=[features.assembler(derived.HOUR_FEATURES, "assembled"), features.category_slots(24)]).fit(rows).transform(rows)
+    return ready.select("fold", F.col("cnt").alias("label"), "features")
+
+
+@query("g06_folds_by_depth")
+def folds_by_depth(t):
+    """Cross-validation of a regression tree: one growth per fold and number of bins serves every depth."""
+    done, _ = sweeps.sweep_folds(estimators.tree_regressor(), _folded_hours(t), evaluate.rmse, _FOLD_GRID, larger_is_better=False)
+    return done.table(t.spark, "rmse")
+
+
+@query("g03_full_sweep_multiclass")
+def full_sweep_multiclass(t):
+    parts = derived.vector_splits(t)
+    grid = tune.settings_grid(impurity=["gini", "entropy"], maxDepth=[3, 5, 10, 15, 20, 25], maxBins=[3, 5, 10, 50, 100, 200])
+    return sweeps.sweep_trees(estimators.tree_classifier(), parts["train"], parts["test"], evaluate.accuracy, grid, larger_is_better=True).table(t.spark, "accuracy")
+
+
+@query("g03_full_sweep_regression")
+def full_sweep_regression(t):
+    rows = _folded_hours(t)
+    grid = tune.settings_grid(maxDepth=[3, 5, 10, 15, 20, 25], maxBins=[3, 5, 10, 50, 100, 200])
+    return sweeps.sweep_trees(estimators.tree_regressor(), rows.where("fold < 2"), rows.where("fold = 2"), evaluate.rmse, grid, larger_is_better=False).table(t.spark, "rmse")
+
+
+@query("g03_full_sweep_logistic")
+def full_sweep_logistic(t):
+    """Sixty settings on twelve paths: as many jobs as the longest has iterations."""
+    return _sweep_sgd(t, estimators.logistic_descent, tune.settings_grid(**tune.LOGISTIC_AXES))
+
+
+@query("g03_full_sweep_svm")
+def full_sweep_svm(t):
+    return _sweep_sgd(t, estimators.hinge_descent, tune.settings_grid(**tune.SVM_AXES))

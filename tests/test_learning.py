@@ -10,9 +10,9 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from loamwork.functions.lookup import PAGE_TYPES
-from loamwork.learning import estimators, evaluate, features, recommend, scoring, tune
+from loamwork.learning import estimators, evaluate, features, recommend, rules, scoring, serving, sweeps, tune
 from loamwork.sources.models import save_model
-from loamwork.workspace import fresh_path
+from loamwork.workspace import fresh_path, spread
 
 
 @pytest.fixture(scope="module")
@@ -267,3 +267,120 @@ def test_folds_from_a_column(spark, points):
         [], tree, BinaryClassificationEvaluator(), tune.param_grid(tree, maxDepth=[1, 2]), fold_column="fold"
     )
     assert len(tuner.fit(folded).stages[-1].avgMetrics) == 2
+
+
+@pytest.mark.parametrize("kind", ["tree", "forest", "regressor", "forest_regressor", "boosted"])
+def test_rule_table_scores_as_the_model(spark, points, kind):
+    estimator, classes, mean = {
+        "tree": (estimators.tree_classifier("gini", 6, 32), True, False), "forest": (estimators.forest_classifier(7), True, False),
+        "regressor": (estimators.tree_regressor(6, 32), False, False), "forest_regressor": (estimators.forest_regressor(5), False, True),
+        "boosted": (estimators.boosted_regressor(maxIter=4), False, False),
+    }[kind]
+    noisy = points.withColumn("label", F.when(F.col("id") % 11 == 0, 1 - F.col("label")).otherwise(F.col("label")))
+    model = estimator.fit(noisy)
+    nodes = rules.node_table(spark, model).cache()
+    depth = rules.depth_of(nodes)
+    trees = getattr(model, "trees", [model])
+    assert nodes.count() == sum(t.numNodes for t in trees) and depth == max(t.depth for t in trees)
+    found = {r.id: r.rule_prediction for r in rules.scored(points, nodes, depth, ["id"], classes, mean).collect()}
+    assert all(found[r.id] == pytest.approx(r.prediction, abs=1e-9) for r in model.transform(points).collect())
+    if kind == "regressor":
+        assert all(r.n == r.model_n and r["mean"] == pytest.approx(r.model_mean) for r in rules.recounted(noisy, nodes, depth).collect())
+    if kind == "tree":
+        counted = rules.recounted_classes(noisy, nodes, depth).collect()
+        assert counted and all(r.n == r.model_n for r in counted) and sum(r.n for r in counted) == 300
+        # A row meets all conditions of its leaf and of no other.
+        bounds = {}
+        for r in rules.conditions(nodes).collect():
+            bounds.setdefault(r.leaf, []).append(r)
+        for r in rules.routed(points, nodes, depth).collect():
+            met = [leaf for leaf, cs in bounds.items() if all((c.above is None or r.features[c.slot] > c.above) and (c.up_to is None or r.features[c.slot] <= c.up_to) for c in cs)]
+            assert met == [r.leaf]
+
+
+def test_rule_table_with_categories(spark):
+    rows = [(i, float(i % 7), float(i % 7 in (1, 4, 6)) + (i % 3) / 10) for i in range(210)]
+    frame = spark.createDataFrame(rows, "id int, a double, label double")
+    ready = Pipeline(stages=[features.assembler(["a"], "assembled"), features.category_slots(10)]).fit(frame).transform(frame)
+    model = estimators.tree_regressor(4, 16).fit(ready)
+    nodes = rules.node_table(spark, model).cache()
+    assert nodes.where("categories IS NOT NULL").count() > 0
+    found = {r.id: r.rule_prediction for r in rules.scored(ready, nodes, rules.depth_of(nodes), ["id"], False).collect()}
+    assert all(found[r.id] == pytest.approx(r.prediction) for r in model.transform(ready).collect())
+    leaf = {r.id: r.leaf for r in rules.routed(ready, nodes, 4).collect()}
+    among = {r.leaf: (r.among, r.outside) for r in rules.conditions(nodes).collect()}
+    assert all((among[leaf[i]][0] is None or a in among[leaf[i]][0]) and a not in (among[leaf[i]][1] or []) for i, a, _ in rows)
+
+
+def test_a_leaf_alone_is_a_rule_table(spark, points):
+    nodes = rules.node_table(spark, estimators.tree_classifier("gini", 0, 32).fit(points))
+    assert nodes.count() == 1 and rules.depth_of(nodes) == 0 and rules.conditions(nodes).count() == 0
+    assert rules.scored(points, nodes, 0, ["id"], True).select("rule_prediction").distinct().count() == 1
+
+
+def test_one_growth_equals_a_fit_per_setting(spark, points):
+    noisy = points.withColumn("label", F.when(F.pmod(F.hash("id"), F.lit(5)) == 0, 1 - F.col("label")).otherwise(F.col("label"))).cache()
+    seen, unseen = noisy.where("id % 3 > 0"), noisy.where("id % 3 = 0")
+    grid = tune.settings_grid(impurity=["gini", "entropy"], maxDepth=[1, 2, 3, 5, 10, 20], maxBins=[3, 10, 32])
+    done = sweeps.sweep_trees(estimators.tree_classifier(), seen, unseen, evaluate.hard_label_auc, grid, larger_is_better=True)
+    assert [t.settings for t in done.trials] == grid and all(t.seconds > 0 for t in done.trials)
+    with spread(seen) as rows:
+        for trial in done.trials:
+            model = estimators.tree_classifier(trial.settings["impurity"], trial.settings["maxDepth"], trial.settings["maxBins"]).fit(rows)
+            assert trial.metric == pytest.approx(evaluate.one_number(evaluate.hard_label_auc(model.transform(unseen)))), trial.settings
+    nodes, depth = done.best.model
+    served = rules.routed(unseen, nodes, depth).withColumnRenamed("value", "prediction")
+    assert evaluate.one_number(evaluate.hard_label_auc(served)) == pytest.approx(done.best.metric)
+
+
+def test_folds_of_a_regression_tree(spark, points):
+    folded = points.withColumn("label", F.col("label") * 3 + F.col("id") % 7).withColumn("fold", F.col("id") % 3)
+    grid = tune.settings_grid(maxDepth=[1, 3, 8], maxBins=[8, 32])
+    done, per_fold = sweeps.sweep_folds(estimators.tree_regressor(), folded, evaluate.rmse, grid, larger_is_better=False)
+    table = {(r.position, r.fold): r.rmse for r in per_fold.collect()}
+    with spread(folded) as rows:
+        for i, p in enumerate(grid):
+            for k in range(3):
+                model = estimators.tree_regressor(p["maxDepth"], p["maxBins"]).fit(rows.where(F.col("fold") != k))
+                assert table[i, k] == pytest.approx(evaluate.one_number(evaluate.rmse(model.transform(rows.where(F.col("fold") == k)))))
+            assert done.trials[i].metric == pytest.approx(sum(table[i, k] for k in range(3)) / 3)
+
+
+def test_descents_in_step_equal_single_ones(points):
+    grid = [estimators.logistic_descent(n, s, f) for n in (0, 2, 5) for s in (0.5, 2.0) for f in (0.5, 1.0)] + [estimators.hinge_descent(4, 1.0, 0.1)]
+    ended = []
+    together = estimators.descend(points, grid, ended.append)
+    for descent, model in zip(grid, together):
+        assert model.weights == pytest.approx(estimators.descend(points, [descent])[0].weights, abs=1e-12)
+    assert [grid[i].iterations for i in ended] == sorted(d.iterations for d in grid if d.iterations)
+    calls = estimators.linear_predictions(together, points, ["id"]).collect()
+    for k in (5, 12):
+        alone = {r.id: r.prediction for r in estimators.sgd_predict(together[k], points).collect()}
+        assert {r.id: r.prediction for r in calls if r.position == k} == alone
+
+
+@pytest.mark.parametrize("blocks, piece", [(7, 2), (64, 128), (1000, 1)])
+def test_top_lists_equal_all_products(spark, blocks, piece):
+    rng = np.random.default_rng(6)
+    factors = rng.standard_normal((400, 5)).astype(np.float32) * rng.lognormal(0, 1.2, (400, 1)).astype(np.float32)
+    factors[10:14] = factors[9]
+    factors[20] = 0
+    asked = rng.standard_normal((60, 5)).astype(np.float32)
+    asked[3] = 0
+    def frame(x):
+        return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, features array<float>")
+
+    found = {}
+    for r in serving.top_lists(frame(asked), frame(factors), 9, blocks, piece).collect():
+        found.setdefault(r.id, {})[r.place] = (r.other, r.score, r.visited)
+    scores = asked.astype(float) @ factors.astype(float).T
+    for i in range(60):
+        order = sorted(range(400), key=lambda j: (-round(scores[i, j], 9), j))[:9]
+        assert [found[i][p][1] for p in range(1, 10)] == pytest.approx([scores[i, j] for j in order], abs=1e-6)
+        if i != 3:
+            assert [found[i][p][0] for p in range(1, 10)] == order
+    visited = [found[i][1][2] for i in range(60)]
+    assert max(visited) <= -(-400 // blocks) and (blocks > 64 or min(visited) < -(-400 // blocks))
+    few = serving.top_lists(frame(asked[:2]), frame(factors[:4]), 9, blocks, piece).collect()
+    assert sorted((r.id, r.place) for r in few) == [(i, p) for i in range(2) for p in range(1, 5)]
+    assert serving.top_lists(frame(asked).limit(0), frame(factors), 9).count() == 0
