@@ -5,7 +5,7 @@ smoothing each group gives every term an integer share p in billionths, and two
 f = (p - q)**2 // (p + q). Everything is whole numbers, so results don't depend on the order of sums.
 
 The matrix of counts has a row per group and a column per term, larger groups and more frequent terms first, and is kept as a
-quadtree: only tiles of 64 x 64 cells with a count are stored, and a tile is cut in four, and again, as long as a quarter has counts.
+quadtree: only tiles of 64 rows and 2,048 columns with a count are stored, and a tile is cut, and again in four, as long as a part has counts.
 Most of the matrix is zero, and all zeros of a group have the same share. So pairs of groups are priced in three parts:
 
 1. As if both groups were all zero: the number of terms times one f.
@@ -33,8 +33,8 @@ from loamwork.operators.positions import number_rows
 
 #: ASCII bytes that are no letters become blanks, A-Z become a-z; the bytes of all other characters stay.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
-#: Side of a stored tile and of the quadrants where the descent ends.
-TILE, LEAF = 64, 16
+#: Rows and columns of a stored tile, and the side of the quadrants where the descent ends.
+TILE, SPAN, LEAF = 64, 2048, 16
 _HELD = 400_000
 
 
@@ -109,9 +109,10 @@ def descend(a: np.ndarray, b: np.ndarray, zero_a: np.ndarray, zero_b: np.ndarray
     """
     if not a.any() or not b.any():
         return
-    if max(a.shape + b.shape) > LEAF:
+    longest = max(a.shape + b.shape)
+    if longest > LEAF:
         def halves(n):
-            return (slice(0, n // 2), slice(n // 2, n)) if n > LEAF else (slice(0, n),)
+            return (slice(0, n // 2), slice(n // 2, n)) if n == longest else (slice(0, n),)
 
         for columns in halves(a.shape[1]):
             for top in halves(a.shape[0]):
@@ -126,53 +127,32 @@ def descend(a: np.ndarray, b: np.ndarray, zero_a: np.ndarray, zero_b: np.ndarray
 
 
 def _dense(cells: np.ndarray, shares: np.ndarray) -> np.ndarray:
-    out = np.zeros(TILE * TILE, np.int64)
+    out = np.zeros(TILE * SPAN, np.int64)
     out[cells] = shares
-    return out.reshape(TILE, TILE)
-
-
-def _jointly(zeros: dict[tuple[str, int], np.ndarray] | None):
-    """Arrow step over pairs of tiles on the same columns: (lang, g, h, value), summed over the pairs of a task."""
-
-    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple, np.ndarray] = {}
-
-        def given():
-            langs, g, h, value = [], [], [], []
-            for (lang, i, j), found in sums.items():
-                row, other = np.nonzero(found)
-                langs.extend([lang] * len(row))
-                g.append(row + i * TILE)
-                h.append(other + j * TILE)
-                value.append(found[row, other])
-            sums.clear()
-            columns = [np.concatenate([np.empty(0, np.int64), *c]) for c in (g, h, value)]
-            return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), *map(pa.array, columns)], names=["lang", "g", "h", "value"])
-
-        def numbers(batch, name, i):
-            return batch.column(name)[i].values.to_numpy()
-
-        for batch in batches:
-            langs, rows, others = (batch.column(c).to_pylist() for c in ("lang", "i", "j"))
-            for k, key in enumerate(zip(langs, rows, others)):
-                a = _dense(numbers(batch, "cells", k), numbers(batch, "shares", k))
-                b = _dense(numbers(batch, "other_cells", k), numbers(batch, "other_shares", k))
-                out = sums.get(key)
-                if out is None:
-                    out = sums[key] = np.zeros((TILE, TILE), np.int64)
-                descend(a, b, numbers(batch, "zeros", k), numbers(batch, "other_zeros", k), out)
-            # 1,000 pairs of row blocks are 32 MB.
-            if len(sums) > 1000:
-                yield given()
-        yield given()
+    return out.reshape(TILE, SPAN)
+
 
-    return step
+def _jointly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of tiles on the same columns to (lang, g, h, value)."""
+    def numbers(batch, name, i):
+        return batch.column(name)[i].values.to_numpy()
+
+    for batch in batches:
+        for k, (lang, i, j) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("lang", "i", "j")))):
+            a = _dense(numbers(batch, "cells", k), numbers(batch, "shares", k))
+            b = _dense(numbers(batch, "other_cells", k), numbers(batch, "other_shares", k))
+            out = np.zeros((TILE, TILE), np.int64)
+            descend(a, b, numbers(batch, "zeros", k), numbers(batch, "other_zeros", k), out)
+            row, other = np.nonzero(out)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(row), pa.string()), pa.array(row + i * TILE), pa.array(other + j * TILE), pa.array(out[row, other])], names=["lang", "g", "h", "value"]
+            )
 
 
 def _tiles(cells: DataFrame, groups: DataFrame, terms: DataFrame) -> DataFrame:
     """(lang, i, column, cells, shares, zeros): every tile that has a count, with the shares of its rows' zeros."""
     placed = cells.join(broadcast_if_small(terms), ["lang", "term"]).join(broadcast_if_small(groups.select("lang", "source", "g", "n_all", "n_terms")), ["lang", "source"])
-    priced = placed.select("lang", F.expr(f"g div {TILE}").alias("i"), F.expr(f"at div {TILE}").alias("column"), ((F.col("g") % TILE) * TILE + F.col("at") % TILE).alias("cell"), _share("n").alias("p"))
+    priced = placed.select("lang", F.expr(f"g div {TILE}").alias("i"), F.expr(f"at div {SPAN}").alias("column"), ((F.col("g") % TILE) * SPAN + F.col("at") % SPAN).alias("cell"), _share("n").alias("p"))
     tiles = priced.groupBy("lang", "i", "column").agg(F.collect_list(F.struct("cell", "p")).alias("filled"))
     zeros = groups.groupBy("lang", F.expr(f"g div {TILE}").alias("i")).agg(F.sort_array(F.collect_list(F.struct("g", "p0"))).alias("rows"))
     # Rows beyond the last group have no counts, so their share is never used; one keeps it from dividing by zero.
@@ -198,7 +178,7 @@ def pair_values(cells: DataFrame, groups: DataFrame, terms: DataFrame) -> DataFr
     tiles = stored(_tiles(cells, groups, terms), "count-tiles")
     others = tiles.select("lang", "column", F.col("i").alias("j"), *[F.col(c).alias(f"other_{c}") for c in ("cells", "shares", "zeros")])
     met = tiles.join(others, ["lang", "column"]).where("i <= j").drop("column")
-    joint = met.mapInArrow(_jointly(None), "lang string, g bigint, h bigint, value bigint").where("g <> h")
+    joint = met.mapInArrow(_jointly, "lang string, g bigint, h bigint, value bigint").where("g <> h")
     # Two row blocks meet once, a block with itself in both orders.
     turned = joint.where(F.expr(f"g div {TILE} <> h div {TILE}")).select("lang", F.col("h").alias("g"), F.col("g").alias("h"), "value")
     parts = empty.unionByName(against).unionByName(mirrored).unionByName(joint).unionByName(turned)
