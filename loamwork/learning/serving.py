@@ -78,9 +78,13 @@ def top_lists(asked: DataFrame, factors: DataFrame, n: int, block_rows: int = BL
 
     ``visited`` is the number of blocks that were scored for the id. Places start at 1; scores are doubles.
     """
+    return search_blocks(asked, norm_blocks(factors, block_rows), n, piece)
+
+
+def search_blocks(asked: DataFrame, blocks: DataFrame, n: int, piece: int = PIECE) -> DataFrame:
+    """The lists of :func:`top_lists` from blocks that were cut before, such as stored ones: only those in reach are read."""
     spark = asked.sparkSession
-    blocks = norm_blocks(factors, block_rows)
-    n_blocks = blocks.agg(F.count(F.lit(1))).first()[0]
+    n_blocks = (blocks.agg(F.max("block")).first()[0] or 0) + 1
     nothing = F.array()
     state = asked.select(
         F.col("id").cast("int").alias("id"), F.col("features").cast("array<float>").alias("features"), nothing.cast("array<int>").alias("found"),
@@ -88,7 +92,7 @@ def top_lists(asked: DataFrame, factors: DataFrame, n: int, block_rows: int = BL
     )
     done = state.where("false")
     for first in range(0, n_blocks, piece):
-        rows = blocks.where(F.col("block").between(first, first + piece - 1)).collect()
+        rows = blocks.where((F.col("block") >= first) & (F.col("block") < first + piece)).collect()
         parts = [(r["norm"], np.array(r["ids"], np.int32), np.array(r["values"], np.float64).reshape(len(r["ids"]), -1)) for r in sorted(rows, key=lambda r: r["block"])]
         sent, last = spark.sparkContext.broadcast(parts), first + piece >= n_blocks
 

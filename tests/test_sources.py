@@ -17,24 +17,24 @@ def put(path, text):
 
 
 def test_users_file(spark, tmp_path):
-    path = put(tmp_path / "users", "1|24|M|technician|85711\n2|53|F|other|T8H1N\n")
+    path = put(tmp_path / "users", "1|27|M|baker|20001\n2|61|F|glazier|T9Z9Z\n")
     users = readers.read_delimited(spark, path, schemas.USERS, sep="|")
     assert [tuple(r) for r in users.orderBy("userid").collect()] == [
-        (1, 24, "M", "technician", "85711"), (2, 53, "F", "other", "T8H1N"),
+        (1, 27, "M", "baker", "20001"), (2, 61, "F", "glazier", "T9Z9Z"),
     ]
 
 
 def test_ratings_file_keeps_three_fields(spark, tmp_path):
-    path = put(tmp_path / "ratings", "196\t242\t3\t881250949\n186\t302\t3\t891717742\n")
+    path = put(tmp_path / "ratings", "501\t77\t4\t900000001\n502\t78\t2\t900000002\n")
     ratings = readers.read_delimited(spark, path, schemas.RATINGS, sep="\t").drop("rated_at")
-    assert sorted(tuple(r) for r in ratings.collect()) == [(186, 302, 3), (196, 242, 3)]
+    assert sorted(tuple(r) for r in ratings.collect()) == [(501, 77, 4), (502, 78, 2)]
 
 
 def test_item_schema_has_24_fields(spark, tmp_path):
-    line = "1|Toy Story (1995)|01-Jan-1995||http://x/" + "|0" * 18 + "|1"
+    line = "1|A Made-Up Film (2001)|02-Feb-2001||http://x/" + "|0" * 18 + "|1"
     item = readers.read_delimited(spark, put(tmp_path / "items", line + "\n"), schemas.items(), sep="|").first()
     assert len(item) == 24
-    assert (item.item_id, item.title, item.video_date, item.genre_0, item.genre_18) == (1, "Toy Story (1995)", None, 0, 1)
+    assert (item.item_id, item.title, item.video_date, item.genre_0, item.genre_18) == (1, "A Made-Up Film (2001)", None, 0, 1)
 
 
 def test_quotes_honoured_or_stripped(spark, tmp_path):
