@@ -43,6 +43,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sealed(docs: DataFrame) -> Column:
+    """All columns of ``docs`` as one struct, ``_row``: whatever they are called, none meets a column of the operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
+def opened(df: DataFrame, columns: list[str], **results: Column) -> DataFrame:
+    """The columns sealed in ``_row`` with the results: a result takes the place of a column of its name, others come last."""
+    kept = [results.pop(c).alias(c) if c in results else F.col(f"_row.`{c}`").alias(c) for c in columns]
+    return df.select(*kept, *[value.alias(name) for name, value in results.items()])
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores after it as long as a column, in any case of letters, has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_out(key: str = "doc_id") -> Column:
     """True for rows that no model may learn from: crc32 of the key as text, modulo 4, is 2. False for a null key."""
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -7,14 +7,15 @@ the smallest doc_id, so that what many copies of a document hold in common is no
 
 Lines lie between ``\\n``; blanks around a line do not matter and blank lines always stay. Null text is empty, null source
 is no site, a null doc_id comes after all others. Repeated rows keep or lose their lines together, except that one row of
-the smallest doc_id keeps them. Extra columns stay as they are.
+the smallest doc_id keeps them. Extra columns stay as they are, whatever their names; a column that is named like the
+number of removed lines is replaced by it, so ask for another name where it is to stay.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from loamwork.llm.common import query, stored, table
+from loamwork.llm.common import opened, query, sealed, stored, table
 
 _BLANKS = " \t\n\x0b\x0c\r"
 #: log2 of the registers of a sketch: a standard error of 1.6 %.
@@ -48,29 +49,28 @@ def boilerplate(lines: DataFrame, min_sites: int) -> DataFrame:
     return sure.select("line", "row_no").unionByName(near.join(exact.select("line"), "line", "left_semi").select("line", "row_no"))
 
 
-def remove_shared_lines(docs: DataFrame, min_sites: int = 10) -> DataFrame:
-    """``docs`` with shared lines removed from ``text``, and ``n_removed``, the number of lines that went.
+def remove_shared_lines(docs: DataFrame, min_sites: int = 10, into: str = "n_removed") -> DataFrame:
+    """``docs`` with shared lines removed from ``text``, and in ``into`` the number of lines that went.
 
     Texts without shared lines are unchanged; the lines left in others are joined by ``\\n``.
     """
-    rows = stored(docs.withColumn("_row_no", F.monotonically_increasing_id()), "line-rows")
+    rows = stored(docs.select(sealed(docs), F.monotonically_increasing_id().alias("row_no")), "line-rows")
+    text = F.col("_row.text")
     lines = rows.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("_row_no").alias("row_no"),
-        F.posexplode(F.split("text", "\n", -1)).alias("at", "value"),
+        F.col("_row.doc_id").cast("bigint").alias("doc_id"), F.col("_row.source").cast("string").alias("source"), "row_no",
+        F.posexplode(F.split(text, "\n", -1)).alias("at", "value"),
     ).where(F.btrim("value", F.lit(_BLANKS)) != "").withColumn("line", _hash(F.col("value")))
     shared = stored(boilerplate(lines, min_sites).withColumnRenamed("row_no", "keeper"), "shared-lines")
     gone = (
         lines.select("row_no", "at", "line").join(shared, "line").where(F.col("row_no") != F.col("keeper"))
-        .groupBy(F.col("row_no").alias("_row_no")).agg(F.collect_set("at").alias("_gone"))
+        .groupBy("row_no").agg(F.collect_set("at").alias("gone"))
     )
     left = F.array_join(F.filter(
-        F.transform(F.split("text", "\n", -1), lambda value, at: F.when(~F.array_contains("_gone", at), value)), lambda v: v.isNotNull()
+        F.transform(F.split(text, "\n", -1), lambda value, at: F.when(~F.array_contains("gone", at), value)), lambda v: v.isNotNull()
     ), "\n")
-    joined = rows.join(gone, "_row_no", "left").drop("_row_no")
-    return joined.withColumns({
-        "text": F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left),
-        "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint"),
-    }).drop("_gone")
+    return opened(rows.join(gone, "row_no", "left"), docs.columns, **{
+        "text": F.when(F.col("gone").isNull(), text).otherwise(left), into: F.coalesce(F.size("gone"), F.lit(0)).cast("bigint"),
+    })
 
 
 @query("op1_line_dedup", """

@@ -7,8 +7,8 @@ differs from its exact share by less than one block, as long as every source has
 after ``period`` slots and is computed for one; rows find their slots by join.
 
 Null sources count as the source ''. A source that runs out leaves its slots unused; the others go on in theirs, so no row is
-dropped. Rows with equal or null doc_id are ordered by their content. Extra columns stay; columns named like the added ones
-(mix_block, mix_slot, mix_place, mix_full) are replaced.
+dropped. Rows with equal or null doc_id are ordered by their content. Extra columns stay, whatever their names; columns named
+like the added ones (mix_block, mix_slot, mix_place, mix_full) are replaced.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from math import ceil, gcd, isqrt, log
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from loamwork.llm.common import query, stored, table
+from loamwork.llm.common import opened, query, sealed, stored, table
 from loamwork.operators.joins import broadcast_if_small
 
 
@@ -80,18 +80,18 @@ def schedule(weights: DataFrame, period: int) -> DataFrame:
 
 
 def _ranked(docs: DataFrame, rows: int) -> DataFrame:
-    """``docs`` with ``_rank``: the row's place in its source, in the order of a digest of its id.
+    """``docs`` (_row, _id, _key, _tie) with ``_rank``: the row's place in its source, in the order of a digest of its id.
 
     A source is numbered in buckets by leading hex digits of the digest, a few hundred thousand rows each however large the
     source is, shifted by the sizes of the buckets before.
     """
     digits = max(1, ceil(log(max(rows, 1) / 200_000 + 1, 16)))
-    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    order = F.md5(F.coalesce(F.col("_id").cast("string"), F.lit("")).cast("binary"))
     keyed = docs.withColumn("_order", order).withColumn("_bucket", F.substring("_order", 1, digits))
     sizes = keyed.groupBy("_key", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("_key", "_bucket", F.coalesce(before, F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy("_key", "_bucket").orderBy("_order", "doc_id", "_tie"))
+    place = F.row_number().over(Window.partitionBy("_key", "_bucket").orderBy("_order", "_id", "_tie"))
     return keyed.withColumn("_place", place).join(starts, ["_key", "_bucket"]).withColumn(
         "_rank", F.col("_start") + F.col("_place") - 1
     ).drop("_order", "_bucket", "_place", "_start", "_tie")
@@ -107,7 +107,7 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int
     spark = docs.sparkSession
     # The text breaks ties between equal ids; a digest keeps the sort narrow.
     tie = F.xxhash64(*[F.col(c).cast("string") for c in docs.columns if c in ("text", "source", "lang")]) if set(docs.columns) & {"text"} else F.lit(0)
-    keyed = docs.drop("mix_block", "mix_slot", "mix_place", "mix_full").withColumns({"_key": F.coalesce("source", F.lit("")), "_tie": tie})
+    keyed = docs.select(sealed(docs), F.col("doc_id").alias("_id"), F.coalesce("source", F.lit("")).alias("_key"), tie.alias("_tie"))
     counts = stored(keyed.groupBy(F.col("_key").alias("source")).agg(F.count(F.lit(1)).alias("n")), "source-sizes")
     if weights is None:
         n_sources = counts.count()
@@ -135,7 +135,9 @@ def mix(docs: DataFrame, weights: dict[str, int] | None = None, block_rows: int
     placed = within.join(slots, ["_key", "_in"], "left").withColumns({
         "mix_slot": F.floor(F.col("mix_block") / F.col("_weight")) * period + F.col("_slot"), "mix_place": F.col("_rank") % block_rows,
     })
-    return placed.withColumn("mix_full", F.coalesce(F.col("mix_slot") < (ends or 0), F.lit(False))).drop("_key", "_in", "_slot", "_rank", "_weight")
+    full = F.coalesce(F.col("mix_slot") < (ends or 0), F.lit(False))
+    added = {c: F.col(c) for c in ("mix_block", "mix_slot", "mix_place")} | {"mix_full": full}
+    return opened(placed, [c for c in docs.columns if c not in added], **added)
 
 
 @query("op5_mixing")
