@@ -1,13 +1,15 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words map to classes (insult, threat, target, negation, report) and transducers over the classes are composed by a clause
-machine: an insult, a threat, or either with a target nearby, matched inside one clause; a negation or a reported-speech frame
-before it in the clause changes the kind of the match. A document's matches by kind, not its words alone, are weighed by a
-logistic model.
+machine: an insult, with or without a target, or a threat with a target, matched inside one clause; a negation or a
+reported-speech frame before an insult or a threat changes the kind of the match. A document's matches by kind, not its words
+alone, are weighed by a logistic model.
 
-The insult lexicon is learned from labelled rows: word stems that occur in toxic texts and nearly nowhere else. A stem's
-support is the number of distinct neighbourhoods it occurs in, so copies of a text count once; stems are kept when chance
-would produce none of their support among all stems tried. The general word lists below start the other classes.
+The lexicon of insults and threats is learned from labelled rows: word stems that occur in toxic texts and nearly nowhere else. A
+stem's support is the number of distinct neighbourhoods it occurs in, so copies of a text count once; stems are kept when chance
+would produce none of their support among all stems tried. A stem is a threat when a target follows it in most of its toxic
+places, else an insult. The word lists below start all classes in four languages; targets, negations and reports are function words
+and are listed only.
 
 Labels, languages, sources and ids are never inputs of a score. Null and empty texts score as texts without a match; so does
 every text while nothing is labelled. Repeated rows score alike. Columns other than those named are ignored.
@@ -25,18 +27,43 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamwork.llm.common import held_out, query, stored, table
 
-# General word lists of the grammar's classes.
+# General word lists of the grammar's classes, in English, German, French and Spanish.
 _SEEDS = {
-    "insult": "idiot moron stupid scum trash loser pathetic worthless disgusting clown imbecile dumb".split(),
-    "threat": "kill hurt destroy beat shoot stab burn crush strangle punch".split(),
-    "target": "you your yourself he she him her they them these those people".split(),
-    "negation": "not never no isn't wasn't aren't don't didn't doesn't nobody neither without".split(),
-    "report": "said says say wrote writes called calls claimed claims quoted reported according told".split(),
+    "insult": (
+        "idiot moron stupid scum trash loser pathetic worthless disgusting clown imbecile dumb "
+        "trottel dummkopf abschaum versager erbärmlich wertlos widerlich "
+        "imbécile crétin abruti minable ordure dégoûtant "
+        "idiota imbécil estúpido basura patético asqueroso"
+    ).split(),
+    "threat": (
+        "kill hurt destroy beat shoot stab burn crush strangle punch "
+        "töten umbringen verletzen vernichten schlagen erschießen "
+        "tuer blesser détruire frapper écraser étrangler "
+        "matar herir destruir golpear aplastar quemar"
+    ).split(),
+    "target": (
+        "you your yourself he she him her they them these those people "
+        "du dich dir dein ihr euch ihn ihm ihnen leute "
+        "tu toi vous ils elles lui eux gens "
+        "tú ti usted ustedes ellos ellas gente"
+    ).split(),
+    "negation": (
+        "not never no isn't wasn't aren't don't didn't doesn't nobody neither without "
+        "nicht nie niemals kein keine niemand ohne "
+        "pas jamais aucun personne sans "
+        "nunca jamás nadie ningún sin"
+    ).split(),
+    "report": (
+        "said says say wrote writes called calls claimed claims quoted reported according told "
+        "sagte sagt schrieb behauptete nannte laut "
+        "dit disait écrit affirme selon déclare "
+        "dijo dice escribió afirmó según llamó"
+    ).split(),
 }
 _CLASSES = {"insult": 1, "threat": 2, "target": 3, "negation": 4, "report": 5}
 _INSULT, _THREAT, _TARGET, _NEGATION, _REPORT = 1, 2, 3, 4, 5
 #: What a clause machine gives out: matches of each kind.
-KINDS = ["insult", "insult_at_target", "negated", "reported", "threat_at_target"]
+KINDS = ["insult", "insult_at_target", "negated", "reported", "threat_at_target", "threat_negated", "threat_reported"]
 _TOKEN = re.compile(r"[^\W_]+(?:'[^\W_]+)?|[.!?;:\n]")
 _CLAUSE_END = frozenset(".!?;:\n")
 #: Shortest and longest learned stem; longer words may also be learned whole.
@@ -47,8 +74,8 @@ def _machine() -> dict[tuple[int, int], tuple[int, list[int]]]:
     """The composed machine: (state, class) to (state, kinds given out).
 
     A state is a set of bits: a target was seen, a negation is near, a report frame is open, an insult waits for a
-    target, a threat waits for a target. Negation and target reach over a clause; the waiting matches are given out as
-    soon as their kind is known, or at the end of the clause (class 0).
+    target, a threat waits for a target. Negation, report and target reach over a clause; negation and report only to what comes
+    after them. An insult is given out at the next one or at the end of the clause (class 0), a threat once with its target.
     """
     target, negation, report, insult, threat = 1, 2, 4, 8, 16
     moves = {}
@@ -56,12 +83,15 @@ def _machine() -> dict[tuple[int, int], tuple[int, list[int]]]:
         def kind(s):
             return 3 if s & report else 2 if s & negation else 1 if s & target else 0
 
+        threatened = [6 if state & report else 5 if state & negation else 4]
+        waiting = state & (insult | threat)
+
         moves[state, 0] = (0, [kind(state)] if state & insult else [])
         moves[state, _INSULT] = (state | insult, [kind(state)] if state & insult else [])
-        moves[state, _THREAT] = (state | threat, [4] if state & target else [])
-        moves[state, _TARGET] = ((state | target) & ~threat, [4] if state & threat else [])
-        moves[state, _NEGATION] = (state if state & insult else state | negation, [])
-        moves[state, _REPORT] = (state if state & insult else state | report, [])
+        moves[state, _THREAT] = (state, threatened) if state & target else (state | threat, [])
+        moves[state, _TARGET] = ((state | target) & ~threat, threatened if state & threat else [])
+        moves[state, _NEGATION] = (state if waiting else state | negation, [])
+        moves[state, _REPORT] = (state if waiting else state | report, [])
     return moves
 
 
@@ -147,21 +177,23 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(around, pa.string()), pa.array(toxic, pa.int32())], names=["word", "around", "toxic"])
 
 
-def learn_stems(labelled: DataFrame, max_stems: int = 2000) -> dict[str, int]:
-    """Stems of toxic texts, from rows (text, toxic). Counting is by aggregation; only significant stems are collected."""
+def learn_stems(labelled: DataFrame) -> dict[str, int]:
+    """Stems of toxic texts with their class, from rows (text, toxic). Counting is by aggregation; only stems that may be significant,
+    which the bounded sample of rows bounds, are collected."""
     rows = stored(labelled.mapInArrow(_contexts, "word string, around string, toxic int"), "contexts")
     places = rows.groupBy("word", "around").agg(F.min("toxic").alias("toxic"))
-    words = places.groupBy("word").agg(F.sum("toxic").cast("bigint").alias("bad"), F.count(F.lit(1)).alias("n"))
+    at_target = F.split_part("around", F.lit(" "), F.lit(2)).isin(_SEEDS["target"]) & (F.col("toxic") == 1)
+    words = places.groupBy("word").agg(F.sum("toxic").cast("bigint").alias("bad"), F.count(F.lit(1)).alias("n"), F.count_if(at_target).alias("aimed"))
     lengths = F.sequence(F.lit(_STEM[0]), F.least(F.length("word"), F.lit(_STEM[1])))
     stems = stored(
-        words.select("bad", "n", F.explode(F.array_union(F.transform(lengths, lambda k: F.substring("word", F.lit(1), k)), F.array("word"))).alias("stem"))
-        .groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")), "stems",
+        words.select("bad", "n", "aimed", F.explode(F.array_union(F.transform(lengths, lambda k: F.substring("word", F.lit(1), k)), F.array("word"))).alias("stem"))
+        .groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("bad", "n", "aimed")]), "stems",
     )
     base = words.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).first()
     if not base["bad"] or base["bad"] == base["n"]:
         return {}
     rate, tried = base["bad"] / base["n"], stems.count()
-    likely = stems.where((F.col("bad") >= 3) & (F.col("bad") >= 0.97 * F.col("n"))).orderBy(F.desc("bad"), "stem").limit(20 * max_stems).collect()
+    likely = stems.where((F.col("bad") >= 3) & (F.col("bad") >= 0.97 * F.col("n"))).collect()
     # A stem whose words all go on in the same way is no shorter than what they share.
     support = {r["stem"]: (r["bad"], r["n"]) for r in likely}
     longer = {stem[:-1] for stem, found in support.items() if support.get(stem[:-1]) == found}
@@ -171,8 +203,8 @@ def learn_stems(labelled: DataFrame, max_stems: int = 2000) -> dict[str, int]:
         # A longer stem says nothing new when a part of it is in.
         if any(stem[:k] in chosen for k in range(_STEM[0], len(stem))):
             continue
-        if _tail(bad, n, rate) < log(0.05 / tried) and len(chosen) < max_stems:
-            chosen[stem] = _INSULT
+        if _tail(bad, n, rate) < log(0.05 / tried):
+            chosen[stem] = _THREAT if 2 * row["aimed"] > bad else _INSULT
     return chosen
 
 
@@ -207,8 +239,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 24_000) -> dict:
     return {"words": words, "stems": stems, "weights": weights}
 
 
-def score(docs: DataFrame, model: dict) -> DataFrame:
-    """``docs`` (any columns with ``text``) with ``score``, 0 to 1, from the whole text."""
+def score(docs: DataFrame, model: dict, into: str = "score") -> DataFrame:
+    """``docs`` (any columns with ``text``) with ``into``, 0 to 1, from the whole text; a column of that name is replaced."""
     bound = docs.sparkSession.sparkContext.broadcast(model)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,12 +250,10 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                 part = batch.slice(start, 1024)
                 x = _features(np.array([grammar.counts(t.as_py()) for t in part.column("text")], float))
                 z = np.hstack([x, np.ones((len(x), 1))]) @ np.array(weights) if weights else np.full(len(x), -3.0)
-                columns = [c for c, name in zip(part.columns, part.schema.names) if name != "score"]
-                names = [name for name in part.schema.names if name != "score"]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=[*names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=[*part.schema.names, into])
 
-    kept = docs.drop("score")
-    return kept.mapInArrow(add, kept.withColumn("score", F.lit(0.0)).schema)
+    kept = docs.drop(into)
+    return kept.mapInArrow(add, kept.withColumn(into, F.lit(0.0)).schema)
 
 
 @query("op6_toxicity")
