@@ -5,10 +5,13 @@ each level; a container's points are discounted by the share of its text that li
 its siblings that read like it are kept. What is never article text (menus, headers, footers, forms, scripts, styles, notices,
 adverts, sidebars, reader comments) is cut from the tree first, by element, role or the words of its class and id. A block
 stays, to be judged by its score, when another name of its class or id is an article's, or when it holds most of the page's
-paragraph text outside links and no article is named elsewhere.
+paragraph text outside links and no article is named elsewhere. An article within an article is a comment on it, as is one whose
+class or id says so, unless the page has little else. A header is cut with the title in it, in an article as well; a title that
+stands in the article itself is kept.
 
 Null and empty html, and pages without text, give an empty text. Markup that is not closed, or closed out of order, is closed
-where its parent or a following block ends it. Repeated rows give repeated results; columns other than page_id,
+where its parent or a following block ends it; a comment or a tag that is not closed runs to the end of the page. A line break is
+white space, an image in a line is nothing. Repeated rows give repeated results; columns other than page_id,
 url and html are ignored. A page is handled by itself, so memory is that of the largest page of a task's batch.
 """
 
@@ -43,12 +46,13 @@ _ENDED_BY = {
 }
 _UNLIKELY = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side|rail|aside|widget\w*|footer|foot|"
-    r"header|masthead|topbar|toolbar|comments?|commentlist|disqus\w*|replies|reply|respond|discussion|reactions|cookies?|consent|gdpr|notices?|alerts?|"
+    r"header|masthead|topbar|toolbar|comments?|commentlist|disqus\w*|replies|reply|respond|responses?|discussion|reactions|talkback|guestbook|kommentare?|commentaires?|comentarios?|cookies?|consent|gdpr|notices?|alerts?|"
     r"popup|modal|overlay|newsletter|subscri\w+|signup|login|share|sharing|social|related|recommend\w*|pagination|pager|tags|legal|disclaimer|"
     r"copyright|skip\w*|outbrain|taboola)(?:$|[\s_-])", re.I,
 )
 _LIKELY = re.compile(r"article|body|content|entry|main|post|story|text|blog", re.I)
 _SPACE = re.compile(r"\s+")
+_UNCLOSED = re.compile(r"<[!?/a-zA-Z]")
 _PARAGRAPHS = {"p", "pre", "td", "blockquote", "li", "dd", "h1", "h2", "h3", "h4", "h5", "h6", "figcaption"}
 
 
@@ -79,7 +83,7 @@ class _Tree(HTMLParser):
         if tag in _BLOCKS or tag == "body":
             self._make_room(tag)
         if tag in _VOID:
-            if tag in ("br", "hr", "img"):
+            if tag in ("br", "hr"):
                 self.at.children.append(" ")
             return
         if tag in ("html", "body"):
@@ -90,13 +94,16 @@ class _Tree(HTMLParser):
         hidden = "hidden" in names or names.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", names.get("style") or "")
         # A page header is cut, an article's own heading group is not told from it by its element.
         unlikely = tag in _NOT_TEXT or tag in _NOT_ARTICLE or (names.get("role") or "").lower() in _ROLES or hidden
-        doubted = False
-        if not unlikely and tag in _BLOCKS | {"span", "a", "ins"} and tag not in ("article", "main") and label and _UNLIKELY.search(label):
+        # An article in an article is related to it, as comments are.
+        doubted = tag == "article" and self._within_article()
+        likely = 0 if doubted else likely
+        if not unlikely and not doubted and tag in _BLOCKS | {"span", "a", "ins"} and tag != "main" and label and _UNLIKELY.search(label):
             # A wrapper may be named after what stands beside its article.
             if tag not in _BLOCKS:
                 unlikely = True
             else:
                 doubted = not any(_LIKELY.search(name) and not _UNLIKELY.search(name) for name in label.split())
+                likely = 0 if doubted and tag == "article" else likely
         node = _Node(tag, self.at, likely, tag == "a" and "href" in names, bool(unlikely) or self.at.cut)
         if not node.cut:
             self.at.children.append(node)
@@ -109,6 +116,12 @@ class _Tree(HTMLParser):
         # HTML ignores the slash.
         self.handle_starttag(tag, attrs)
 
+    def _within_article(self):
+        node = self.at
+        while node is not None and node.tag != "article":
+            node = node.parent
+        return node is not None
+
     def _make_room(self, tag):
         """Close what the start of a block ends: an open paragraph with its inline elements, a list item, a table cell, the head."""
         node = self.at
@@ -300,6 +313,9 @@ def main_text(html: str | None) -> str:
         return ""
     tree = _Tree()
     tree.feed(html)
+    # What is left is the start of something unclosed; all but text ends with the page.
+    if _UNCLOSED.match(tree.rawdata):
+        tree.rawdata = ""
     tree.close()
     if tree.doubted:
         _settle(tree.root)
