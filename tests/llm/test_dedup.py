@@ -77,6 +77,48 @@ def test_jaccard_on_given_documents(spark):
     assert found == brute_components(texts)
 
 
+def test_partial_overlaps_sum_to_the_overlap(spark):
+    """Parts cut at pivots hold each set once, and their overlaps add up to those of the sets."""
+    chance = random.Random(8)
+    sets = {v: sorted(chance.sample(range(-500, 500), chance.randint(1, 300))) for v in range(20)}
+    df = {s: sum(s in x for x in sets.values()) for s in range(-500, 500)}
+    rows = [(v, len(x), [(df[s], s * 2**53) for s in sorted(x, key=lambda s: (df[s], s))]) for v, x in sets.items()]
+    frame = spark.createDataFrame(rows, "v bigint, n bigint, order array<struct<df:bigint,s:bigint>>")
+    shared = spark.createDataFrame([(s * 2**53, n) for s, n in df.items() if n > 1], "s bigint, df bigint")
+    cuts = jaccard.pivots(shared, 4)
+    assert len(cuts) == 3 and cuts == sorted(cuts)
+    parts = frame.mapInArrow(jaccard._cut(cuts), jaccard._PARTS).cache()
+    for v, x in sets.items():
+        own = sorted((r for r in parts.collect() if r.v == v), key=lambda r: r.fragment)
+        assert sorted(s for r in own for s in r.s) == [s * 2**53 for s in x]
+        assert all(r.s == sorted(r.s) and r.before + len(r.s) + r.after == len(x) for r in own)
+        assert [r.before for r in own] == [sum(len(q.s) for q in own[:k]) for k in range(len(own))]
+    pairs = [(a, b) for a in sets for b in sets if a < b]
+    found = {tuple(r) for r in jaccard._links(spark.createDataFrame(pairs, "centre bigint, v bigint"), parts).collect()}
+    assert found == {(a, b) for a, b in pairs if 9 * len(set(sets[a]) & set(sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))}
+
+
+def template_documents(n, seed=4):
+    """Documents of ten of forty template blocks each; hardly any two of them link."""
+    chance = random.Random(seed)
+    blocks = [" ".join(f"b{k}w{chance.randrange(10**6)}" for _ in range(30)) for k in range(40)]
+    return [" ".join(chance.sample(blocks, 10)) for _ in range(n)]
+
+
+def test_documents_of_template_blocks(spark):
+    texts = dict(enumerate(template_documents(150)))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_copies(docs).collect()} == brute_components(texts)
+
+
+def test_jaccard_of_long_texts_and_repeated_rows(spark):
+    long = " ".join(f"w{i * 7919 % 50021}" for i in range(50_000))
+    rows = [(1, long), (2, long + " and a tail"), (3, long[: len(long) // 2]), (2, long + " and a tail"), (4, "z" * 300_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted((r.doc_id, r.component_id) for r in jaccard.near_copies(docs).collect())
+    assert found == [(1, 1), (2, 1), (2, 1), (3, 3), (4, 4)]
+
+
 def test_jaccard_links_through_two_centres(spark):
     """A chain of texts where only neighbours link is one component, whichever text is a centre."""
     words = [f"x{i}" for i in range(100)]
@@ -122,7 +164,7 @@ def test_lines_near_the_threshold_are_counted_exactly(spark):
                 rows.append((doc, f"own {doc}\n {name} \n", f"s{s}"))
                 doc += 1
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").withColumn("_gone", F.lit(1))
-    result = {r.doc_id: r for r in lines.remove_shared_lines(docs.drop("_gone"), 10).collect()}
+    result = {r.doc_id: r for r in lines.remove_shared_lines(docs, 10).collect()}
     firsts = {name: min(d for d, t, _ in rows if f" {name} " in t) for name in ("ten", "eleven", "sixty")}
     for d, text, _ in rows:
         name = text.split()[2]
