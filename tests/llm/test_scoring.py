@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from loamwork.llm import decontaminate, language, toxicity, urls
 from loamwork.llm.common import held_out
@@ -23,6 +24,60 @@ def test_machine_kinds():
     assert kinds("I will hurt them") == {"threat_at_target": 1}
     assert kinds("you, I will hurt") == {"threat_at_target": 1}
     assert kinds("hurt. you") == {} and kinds(None) == {} and kinds("") == {}
+    assert kinds("I will never hurt you") == {"threat_negated": 1}
+    assert kinds("he said they would kill them") == {"threat_reported": 1}
+    assert kinds("kill them. never hurt you, people") == {"threat_at_target": 1, "threat_negated": 1}
+    assert kinds("Er sagte, du bist ein Trottel") == {"reported": 1} and kinds("je vais te frapper, toi") == {"threat_at_target": 1}
+    assert kinds("nunca eres un idiota") == {"negated": 1}
+
+
+def clause_kinds(classes):
+    """Matches of one clause, by looking at the places of its classes."""
+    insults = [i for i, c in enumerate(classes) if c == 1]
+    found, waiting = [], None
+    before = {4: False, 5: False}
+    for i, c in enumerate(classes):
+        targets = any(x == 3 for x in classes[:i])
+        if c in before and not any(x == 1 for x in classes[:i]) and waiting is None:
+            before[c] = True
+        kind = "threat_reported" if before[5] else "threat_negated" if before[4] else "threat_at_target"
+        if c == 2 and targets:
+            found.append(kind)
+        elif c == 2:
+            waiting = i
+        elif c == 3 and waiting is not None:
+            found.append(kind)
+            waiting = None
+    for k, i in enumerate(insults):
+        # An insult hears of targets up to the next one.
+        end = insults[k + 1] if k + 1 < len(insults) else len(classes)
+        aimed = any(x == 3 for x in classes[:end])
+        marks = classes_before(classes, insults[0])
+        found.append("reported" if 5 in marks else "negated" if 4 in marks else "insult_at_target" if aimed else "insult")
+    return found
+
+
+def classes_before(classes, first):
+    """Negations and reports before the first insult, without those that came while a threat waited for its target."""
+    marks, waiting = set(), False
+    for i, c in enumerate(classes[:first]):
+        if c == 2 and not any(x == 3 for x in classes[:i]):
+            waiting = True
+        elif c == 3:
+            waiting = False
+        elif c in (4, 5) and not waiting:
+            marks.add(c)
+    return marks
+
+
+def test_kinds_equal_a_parse_of_clauses():
+    grammar = toxicity.Grammar({"i": 1, "t": 2, "g": 3, "n": 4, "r": 5}, {})
+    rng = np.random.default_rng(9)
+    for _ in range(3000):
+        clauses = [["witgnr"[k] for k in rng.integers(0, 6, int(rng.integers(0, 9)))] for _ in range(int(rng.integers(1, 4)))]
+        want = [kind for clause in clauses for kind in clause_kinds([" itgnr".index(c) if c != "w" else 0 for c in clause])]
+        got = grammar.counts(". ".join(" ".join(c) for c in clauses))
+        assert {k: n for k, n in zip(toxicity.KINDS, got) if n} == {k: want.count(k) for k in want}, clauses
 
 
 def test_toxicity_learns_a_made_up_lexicon(spark):
@@ -40,6 +95,8 @@ def test_toxicity_learns_a_made_up_lexicon(spark):
     rows += [(1000 + i, "copied rarewordx rarewordy " + rows[1][1], 1 if i < 6 else None) for i in range(6)]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
     labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    twice = toxicity.score(docs.unionByName(docs), toxicity.fit(docs.where(~held_out()), labels)).groupBy("doc_id").agg(F.countDistinct("score").alias("n"))
+    assert twice.where("n > 1").count() == 0
     model = toxicity.fit(docs.where(~held_out()), labels)
     assert any("zorgu".startswith(s) for s in model["stems"]) and not any(s.startswith("rareword") for s in model["stems"])
     scored = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
@@ -51,6 +108,24 @@ def test_toxicity_learns_a_made_up_lexicon(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_of_long_texts_and_of_threats_learned(spark):
+    """A made-up verb before a target is learned as a threat, a made-up name as an insult."""
+    rng, rows = np.random.default_rng(2), []
+    clean = [f"{a}{b}{c}" for a in ("ba", "ko", "ti", "mu", "re") for b in ("la", "no", "pi", "sa", "de") for c in ("mo", "ku", "ri")]
+    for i in range(400):
+        bad = i % 5 == 0
+        filler = " ".join(rng.choice(clean, 20))
+        threat = f"{filler} mirzlo{'abc'[i % 3]} {('them', 'you', 'her')[i % 3]}"
+        rows.append((i, f"{threat} {filler}, grunvek{'xyz'[i % 3]} {filler}" if bad else filler, int(bad)))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    stems = toxicity.learn_stems(spark.createDataFrame([r[1:] for r in rows], "text string, toxic int"))
+    assert {c for s, c in stems.items() if "mirzlo".startswith(s)} == {2} and {c for s, c in stems.items() if "grunvek".startswith(s)} == {1}
+    model = toxicity.fit(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int"))
+    long = spark.createDataFrame([(1, "koreno tisala " * 40_000), (2, "koreno tisala " * 40_000 + "I will mirzloa them"), (3, "z" * 400_000)], "doc_id bigint, text string")
+    scored = {r.doc_id: r.score for r in toxicity.score(long, model).collect()}
+    assert scored[1] == scored[3] < scored[2]
+
+
 def longest_match_parse(text, corpus):
     """Phrases of a greedy parse, by substring search."""
     count, at = 1, 0
@@ -140,6 +215,71 @@ def test_leaks_and_paraphrases_are_found(spark):
     assert len(again & {(10_000 + i, i) for i in queries}) >= 18 and len(again) <= len(exact) + 22
 
 
+def planted(docs, queries, rates, seed):
+    """(doc_id, text) of documents with an item at a random place, some of its words replaced by words of other documents."""
+    rng, rows = np.random.default_rng(seed), []
+    texts = [t for t in docs if len(t) > 120]
+    for r, rate in enumerate(rates):
+        for i, q in queries.items():
+            host, other = texts[rng.integers(len(texts))], texts[rng.integers(len(texts))]
+            words = [other[rng.integers(len(other))] if rng.random() < rate else w for w in q]
+            at = int(rng.integers(0, len(host)))
+            rows.append((100_000 * (r + 1) + i, " ".join(host[:at] + words + host[at:])))
+    return rows
+
+
+def test_recall_of_the_search(spark):
+    """Items planted verbatim and reworded: of those that pass the check at any place, the cosines find nine in ten at each rate."""
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    queries = {r.item_id: re.findall(r"\w+", r.text.lower()) for r in items.collect()}
+    rates = (0.0, 0.2, 0.25, 0.35)
+    rows = planted([(r.text or "").split() for r in docs.collect()], queries, rates, 11)
+    both = docs.unionByName(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    whole = {(r.doc_id, r.item_id): r.share for r in decontaminate.search(both, items, exact=True).collect()}
+    found = {(r.doc_id, r.item_id): r.share for r in decontaminate.search(both, items).collect()}
+    # What is found is what the yardstick finds, with its share or that of another place.
+    assert set(found) <= set(whole) and all(found[k] <= whole[k] for k in found)
+    for r, rate in enumerate(rates):
+        own = {k for k in whole if k[0] == 100_000 * (r + 1) + k[1]}
+        assert len(own) >= (0.3 if rate > 0.3 else 0.6) * len(queries)
+        assert len(own & set(found)) >= (0.97 if rate == 0 else 0.9) * len(own), rate
+
+
+def test_few_pairs_are_checked(spark):
+    """Fewer than one pair of document and item in a hundred reaches the word by word check."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    hasher = decontaminate._Hasher()
+    items = [{"item_id": r.item_id, "words": hasher(r.text), "answer": hasher("")} for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
+    source = docs.withColumn("tie", F.xxhash64("text"))
+    words = source.mapInArrow(decontaminate._hashed, "doc_id bigint, tie bigint, words binary").cache()
+    idf, directions = decontaminate.factorise(words)
+    benchmark = decontaminate._Items(items, idf, directions, 0.6, 0.8)
+    texts = [np.frombuffer(bytes(r.words), np.uint32) for r in words.collect()]
+    checked = {(i, item) for i, item, _ in benchmark.search(texts, 0.45, False)}
+    assert len(checked) < 0.01 * len(texts) * len(items)
+
+
+def test_items_are_searched_in_parts(spark):
+    docs, items = spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+    twice = items.unionByName(items)
+    one = sorted(map(tuple, decontaminate.search(docs, items).collect()), key=str)
+    assert sorted(map(tuple, decontaminate.search(docs, items, max_items=7).collect()), key=str) == one
+    # Repeated items match each, repeated documents alike.
+    assert sorted(map(tuple, decontaminate.search(docs, twice).collect()), key=str) == sorted(2 * one, key=str)
+    again = docs.select("doc_id", "text").unionByName(docs.select("doc_id", "text"))
+    assert {tuple(r)[:3] for r in decontaminate.search(again, items).collect()} == {r[:3] for r in one}
+
+
+def test_leaks_in_very_long_texts(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon"
+    filler = " ".join(f"w{i * 7919 % 4001}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, filler[:200_003] + " " + item + " " + filler), (2, filler), (3, item[:60])], "doc_id bigint, text string")
+    items = spark.createDataFrame([("a", item)], "item_id string, text string")
+    assert [(r.doc_id, r.item_id, r.share) for r in decontaminate.search(docs, items).collect()] == [(1, "a", 1.0)]
+
+
 def test_leaks_of_odd_rows(spark):
     items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog every single day"), (2, None), (3, "")], "item_id bigint, text string")
     rows = [(1, None, 0.5), (2, "", 0.5), (None, "The quick, brown fox jumps over the lazy dog every single day", 0.1), (4, "nothing of it", 0.2)]
