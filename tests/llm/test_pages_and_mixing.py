@@ -2,16 +2,20 @@
 
 import base64
 import hashlib
+import re
 from collections import defaultdict
+from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from loamwork.llm import html, mixing, warc
+from loamwork.llm import decontaminate, html, jaccard, lines, mixing, warc
 from loamwork.llm.common import ORACLES, QUERIES
-from loamwork.workspace import fresh_path
+from loamwork.workspace import cut_lineage, fresh_path
+
+from tests.llm.test_dedup import brute_components
 
 FOLDER = "/root/testdata/sf0.001"
 PARAGRAPH = "This is the first paragraph of the article, long enough to count, with commas, and a full stop."
@@ -56,6 +60,48 @@ def test_main_text_survives_broken_and_deep_markup():
         html.main_text(page)
 
 
+@pytest.mark.parametrize("comments", [
+    f"<article class='comment'><p>{PARAGRAPH} says one</p></article><article class='comment'><p>{PARAGRAPH} says two</p></article>",
+    f"<section class='user-responses'><p>{PARAGRAPH} says one</p><p>{PARAGRAPH} says two</p></section>",
+    f"<div><article><header>Ann, 3 May</header><p>{PARAGRAPH} says one</p></article><article><p>{PARAGRAPH} says two</p></article></div>",
+])
+def test_comments_in_other_forms_go(comments):
+    body = f"<h1>Head</h1><p>{PARAGRAPH}</p><p>{PARAGRAPH} again</p>"
+    want = f"Head\n{PARAGRAPH}\n{PARAGRAPH} again"
+    inside = f"<main><article>{body}{comments}</article></main>"
+    assert html.main_text(inside) == want
+    if "class" in comments:
+        assert html.main_text(f"<main><article>{body}</article>{comments}</main>") == want
+    # With nothing else on the page, what is called a comment is its text.
+    assert PARAGRAPH in html.main_text(f"<main><article class='comment'><p>{PARAGRAPH}</p></article></main>")
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<p>{PARAGRAPH}</p><!-- open <p>lost</p>", PARAGRAPH), (f"<p>{PARAGRAPH}</p><!-- a --><p>b</p><!-- open", f"{PARAGRAPH}\nb"),
+    (f"<p>{PARAGRAPH}</p><p class='x", PARAGRAPH), ("<p>ab<img src='x'>cd<br>ef</p>", "abcd ef"), ("<p>1 < 2 and 3 <4</p>", "1 < 2 and 3 <4"),
+    ("<p>a & b &amp c</p>", "a & b & c"), (f"<article><header><h1>Head</h1></header><p>{PARAGRAPH}</p></article>", PARAGRAPH),
+])
+def test_unclosed_markup_and_inline_images(page, text):
+    assert html.main_text(page) == text
+
+
+def article_by_hand(page):
+    """Blocks between the article's tags in the given pages, which hold paragraphs, headings, inline tags and line breaks."""
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    inner = re.sub(r"<!--.*?-->|<(script|style)>.*?</\1>|<div class=\"(?:ad|share)[^>]*>.*?</div>|<(aside|form|nav)\b.*?</\2>", "", inner, flags=re.S)
+    parts = re.split(r"</?(?:p|h[1-6]|li|ul|ol|div|blockquote|pre|table|tr|td|section)\b[^>]*>", inner)
+    lines = [" ".join(unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\s*/?>", " ", part))).split()) for part in parts]
+    return "\n".join(line for line in lines if line)
+
+
+@pytest.mark.parametrize("folder", [FOLDER, "/root/testdata/sf0.01"])
+def test_given_pages_equal_their_article_block(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    wanted = {r.page_id: article_by_hand(r.html) for r in pages.collect() if r.html and "<article>" in r.html}
+    found = {r.page_id: r.text for r in html.extract(pages).collect()}
+    assert wanted and {k: found[k] for k in wanted} == wanted
+
+
 def test_extract_rows(spark):
     rows = [(1, "u", "<p>a</p>", 1), (1, "u", "<p>a</p>", 1), (None, None, None, 2)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, n_chars int")
@@ -142,7 +188,7 @@ def test_mixture_of_more_sources_than_slots(spark):
     mixed = mixing.mix(docs, block_rows=2).collect()
     assert sorted((r.doc_id, r.source) for r in mixed) == sorted(rows) and all(r.mix_slot is not None for r in mixed)
     counts = docs.groupBy("source").agg(F.count("*").alias("n"))
-    weights = mixing.tempered_weights(counts, 3000).localCheckpoint()
+    weights = cut_lineage(mixing.tempered_weights(counts, 3000))
     plan = sorted(mixing.schedule(weights, 3000).collect(), key=lambda r: r.slot)
     assert [r.slot for r in plan] == list(range(3000)) and len({r.source for r in plan}) == counts.count() > 1000
     issued = defaultdict(int)
@@ -166,11 +212,86 @@ def test_mixture_of_odd_rows(spark):
 
 
 def test_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
     assert contract.queries()["pipeline"] is corpus_pipeline.run
 
 
+CLASHING = [
+    "_row", "row", "_row_no", "row_no", "at", "line", "value", "keeper", "gone", "_gone", "n_removed", "_slot", "_weight", "_start", "_key", "_tie", "_rank", "_bucket",
+    "_order", "_place", "_in", "_id", "tie", "_doc", "item_id", "share", "score", "root", "v", "n", "s", "_wordless", "least", "mix_rank", "weight", "block", "slot",
+]
+
+
+def clashing_documents(spark):
+    """Documents with an extra column of every name that operators use inside."""
+    shared = "a line that many sites share"
+    rows = [(i, f"own words {i} of the document {i * 7} said once\n{shared}", f"s{i % 12}", "en", 9) for i in range(36)]
+    rows += [(100, rows[0][1], "s1", "en", 9), (None, "no id at all", None, None, None), (101, None, "s2", None, None), (102, "", "s2", "en", 0), (103, "x " * 30_000, "s3", "en", 60_000)]
+    rows += [rows[3], rows[3]]
+    extra = ", ".join(f"`{c}` string" for c in CLASHING)
+    return spark.createDataFrame([(*r, *[f"{c}{k}" for c in CLASHING]) for k, r in enumerate(rows)], f"doc_id bigint, text string, source string, lang string, n_chars bigint, {extra}")
+
+
+@pytest.mark.parametrize("operator", ["lines", "mix", "keep_one", "clean", *[name for name, _ in corpus_pipeline.STAGES]])
+def test_extra_columns_of_any_name_stay(spark, operator):
+    docs = clashing_documents(spark)
+    items = spark.createDataFrame([(1, "own words 5 of the document 35 said once")], "item_id bigint, text string")
+    stages = dict(corpus_pipeline.STAGES)
+    run = {
+        "lines": lambda: lines.remove_shared_lines(docs, 10), "mix": lambda: mixing.mix(docs), "keep_one": lambda: jaccard.keep_one(docs),
+        "clean": lambda: decontaminate.clean(docs, items),
+    }.get(operator) or (lambda: stages[operator](spark, docs, FOLDER))
+    found = run()
+    results = {"lines": ["n_removed"], "mix": [], "mixing": []}.get(operator, [])
+    assert set(docs.columns) <= set(found.columns)
+    if operator not in ("mix", "mixing", "lines"):
+        assert found.columns == docs.columns
+    rows = found.collect()
+    given = {tuple(r[c] for c in CLASHING if c not in results) for r in docs.collect()}
+    kept = [tuple(r[c] for c in CLASHING if c not in results) for r in rows]
+    assert set(kept) <= given and len(kept) >= 30 - (operator in ("clean", "decontamination"))
+    if operator in ("lines", "mix", "mixing", "toxicity", "line_dedup"):
+        assert len(kept) == docs.count() and {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
+    if operator in ("lines", "line_dedup"):
+        assert sum("many sites" in (r.text or "") for r in rows) == 1
+
+
+def test_pipeline_equals_its_stages_by_hand(spark):
+    """Shared lines, copies and leaks worked out by hand on what each stage gets; the mixture drops nothing."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("line_dedup", "near_copies", "decontamination", "mixing"):
+        after = stages[name](spark, docs, FOLDER).cache()
+        before = {r.doc_id: r for r in docs.collect()}
+        kept = {r.doc_id: r for r in after.collect()}
+        assert set(kept) <= set(before)
+        if name == "line_dedup":
+            sites = defaultdict(set)
+            keeper = {}
+            for d in sorted(before):
+                for line in (before[d].text or "").split("\n"):
+                    if line.strip(" \t\n\x0b\x0c\r"):
+                        sites[line.strip(" \t\n\x0b\x0c\r")].add(before[d].source)
+                        keeper.setdefault(line.strip(" \t\n\x0b\x0c\r"), d)
+            for d, r in before.items():
+                left = [x for x in (r.text or "").split("\n") if len(sites[x.strip(" \t\n\x0b\x0c\r")]) < 10 or keeper[x.strip(" \t\n\x0b\x0c\r")] == d]
+                text = "\n".join(left)
+                assert (d in kept) == (text == (r.text or "") or bool(text.strip(" \t\n\x0b\x0c\r")))
+                if d in kept:
+                    assert (kept[d].text or "") == text and (kept[d].n_chars == len(text) or text == r.text)
+        elif name == "near_copies":
+            component = brute_components({d: r.text for d, r in before.items()})
+            assert set(kept) == {d for d in before if component[d][1] == d}
+        elif name == "decontamination":
+            items = spark.read.parquet(f"{FOLDER}/benchmark.parquet")
+            leaks = {r.doc_id for r in decontaminate.search(docs, items, exact=True).collect()}
+            assert set(kept) == set(before) - leaks
+        else:
+            assert set(kept) == set(before)
+        docs = after.select(*docs.columns)
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     names = [name for name, _ in corpus_pipeline.STAGES]
