@@ -2,6 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and reread as the docs of the next.
 All but the last return the columns of ``documents``.
+
+Null ids and null texts pass through every stage: a null id is a document like others, after all other ids where ids are ordered; a
+null text scores as one without matches, has no lines to lose, is no copy and holds no item. Rows that repeat count as copies of each
+other. Extra columns come out as they went in, whatever their names, but for the columns that the last stage adds.
 """
 
 from __future__ import annotations
@@ -9,31 +13,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamwork.llm import decontaminate, jaccard, lines, mixing, toxicity
-from loamwork.llm.common import held_out, stored, table
+from loamwork.llm.common import held_out, stored, table, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that score 0.3 or more; the model learns from the labels of the training fold."""
     model = toxicity.fit(docs.where(~held_out()), table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("score") < 0.3).select(*docs.columns)
+    into = unused(docs.columns, "score")
+    return toxicity.score(docs, model, into).where(F.col(into) < 0.3).drop(into)
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without boilerplate lines, and without documents that had nothing else. ``n_chars`` follows the text."""
-    cleaned = lines.remove_shared_lines(docs)
-    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    changed = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return cleaned.where(~emptied).withColumn("n_chars", changed).select(*docs.columns)
+    into = unused(docs.columns, "n_removed")
+    cleaned, removed = lines.remove_shared_lines(docs, into=into), F.col(into) > 0
+    emptied = removed & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    changed = F.when(removed, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cleaned.where(~emptied).withColumn("n_chars", changed).drop(into)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest doc_id."""
-    return jaccard.keep_one(docs).select(*docs.columns)
+    return jaccard.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a benchmark item."""
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
