@@ -218,10 +218,12 @@ def normal_equations(t):
     """Per item in the last half-step of a fit: (sum u u' + lambda n I) v = sum r u. Users are solved last."""
     ratings = recommending.ratings_of(t)
     model = recommend.train(ratings, iterations=10, regularisation=0.1)
-    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").cast("array<double>").alias("u"))
-    items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").cast("array<double>").alias("v"))
+    # Factors cross the shuffle as floats, and the ratings are looked up in them without being sorted.
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("_u")).hint("shuffle_hash")
+    items = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("_v")).hint("shuffle_hash")
     dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda s, p: s + p)
-    seen = ratings.join(items, "item_id").join(users, "user_id").withColumn("gap", dot - F.col("rating"))
+    met = ratings.select("user_id", "item_id", "rating").join(items, "item_id").join(users, "user_id")
+    seen = met.withColumns({"u": F.col("_u").cast("array<double>"), "v": F.col("_v").cast("array<double>")}).withColumn("gap", dot - F.col("rating"))
     # Slot by slot: sum of gap * v, plus lambda * n * u, is near zero for solved users.
     slots = seen.select("user_id", "u", F.posexplode(F.transform("v", lambda x: x * F.col("gap"))).alias("slot", "pull"))
     sums = slots.groupBy("user_id", "slot").agg(F.sum("pull").alias("pull"), F.count(F.lit(1)).alias("n"), F.first("u").alias("u"))

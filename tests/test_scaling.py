@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from loamwork.learning import evaluate, recommend, sweeps
 from loamwork.plans import QUERIES
 
 
@@ -13,3 +14,17 @@ def test_regression_sweep_runs_with_fewer_bins_than_hours(spark, tmp_path):
     rows = QUERIES["g03_full_sweep_regression"](spark, str(tmp_path)).collect()
     assert [r.grid_position for r in rows] == list(range(36)) and sum(r.is_best for r in rows) == 1
     assert {r.maxBins for r in rows} == {"3", "5", "10", "50", "100", "200"} and all(r.rmse >= 0 for r in rows)
+
+
+def test_factor_sweep_keeps_saved_models_and_fits_equal_settings_once(spark):
+    ratings = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(30) for i in range(20) if (u + i) % 3], "user_id int, item_id int, rating float")
+    grid = [{"rank": 2, "maxIter": 3, "regParam": 0.1}, {"rank": 3, "maxIter": 3, "regParam": 0.1}, {"rank": 2, "maxIter": 3, "regParam": 0.1}]
+    done, counts = sweeps.sweep_factors(recommend.factoriser(), ratings.where("user_id % 7 > 0"), ratings.where("item_id % 4 = 0"), grid)
+    assert [t.model.rank for t in done.trials] == [2, 3, 2] and [t.settings for t in done.trials] == grid
+    assert all(t.model.userFactors.inputFiles() and t.model.itemFactors.inputFiles() for t in done.trials)
+    assert done.trials[0].model is done.trials[2].model and done.trials[0].metric == done.trials[2].metric
+    single = recommend.train(ratings.where("user_id % 7 > 0"), rank=3, iterations=3)
+    pairs = ratings.where("item_id % 4 = 0")
+    found = evaluate.one_number(evaluate.coverage_rmse(recommend.predict_pairs(single, pairs), pairs, ["user_id", "item_id"]))
+    assert abs(done.trials[1].metric - found) < 1e-4
+    assert all(r.n == pairs.count() and r.n_predicted == pairs.where("user_id % 7 > 0").count() for r in counts.collect())
