@@ -63,7 +63,8 @@ def _rows(t, label: str) -> DataFrame:
 def _stump(t, label: str, estimator):
     rows = _rows(t, label)
     with spread(rows) as train:
-        return estimator.fit(train), rows.select("x", "features").dropDuplicates(["x"])
+        # Plain numbers are made distinct before they become vectors, by hashing and not by sorting all rows.
+        return estimator.fit(train), features.assembler(["x"]).transform(rows.select("x").distinct())
 
 
 def _leaves(t, label: str, estimator, share: int | None = None) -> DataFrame:

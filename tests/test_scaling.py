@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from loamwork.learning import evaluate, recommend, sweeps
 from loamwork.plans import QUERIES
+from loamwork.workspace import PARTITION_ROWS, TRAINING_PARTITIONS, dealt, spread
 
 
 def test_regression_sweep_runs_with_fewer_bins_than_hours(spark, tmp_path):
@@ -28,3 +29,21 @@ def test_factor_sweep_keeps_saved_models_and_fits_equal_settings_once(spark):
     found = evaluate.one_number(evaluate.coverage_rmse(recommend.predict_pairs(single, pairs), pairs, ["user_id", "item_id"]))
     assert abs(done.trials[1].metric - found) < 1e-4
     assert all(r.n == pairs.count() and r.n_predicted == pairs.where("user_id % 7 > 0").count() for r in counts.collect())
+
+
+def test_equal_rows_are_dealt_over_partitions(spark):
+    frame = spark.range(0, 130_000, 1, 5).select(F.when(F.col("id") < 90_000, 7).otherwise(F.col("id")).alias("x"), F.lit(1.0).alias("y"))
+
+    def dealt_rows(df):
+        with spread(df) as rows:
+            return [(r.p, r.x, r["count"]) for r in rows.groupBy(F.spark_partition_id().alias("p"), "x").count().orderBy("p", "x").collect()]
+
+    found = dealt_rows(frame)
+    assert sum(n for *_, n in found) == 130_000 and sum(n for _, x, n in found if x == 7) == 90_000
+    assert len({p for p, x, _ in found if x == 7}) > 1
+    assert found == dealt_rows(frame.repartition(3, "x"))
+
+
+def test_partitions_grow_with_the_rows(spark):
+    assert dealt(spark.range(0, 1000)).rdd.getNumPartitions() == TRAINING_PARTITIONS
+    assert dealt(spark.range(0, PARTITION_ROWS * TRAINING_PARTITIONS + 1)).rdd.getNumPartitions() == TRAINING_PARTITIONS + 1
