@@ -1,8 +1,9 @@
 """Queries and helpers whose work must not hang on one setting, one task or kept results."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from loamwork.learning import evaluate, recommend, sweeps
+from loamwork.learning import evaluate, recommend, serving, sweeps
 from loamwork.plans import QUERIES
 from loamwork.workspace import PARTITION_ROWS, TRAINING_PARTITIONS, dealt, spread
 
@@ -47,3 +48,26 @@ def test_equal_rows_are_dealt_over_partitions(spark):
 def test_partitions_grow_with_the_rows(spark):
     assert dealt(spark.range(0, 1000)).rdd.getNumPartitions() == TRAINING_PARTITIONS
     assert dealt(spark.range(0, PARTITION_ROWS * TRAINING_PARTITIONS + 1)).rdd.getNumPartitions() == TRAINING_PARTITIONS + 1
+
+
+def test_all_products_in_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(serving, "ASKED_ROWS", 16)
+    monkeypatch.setattr(serving, "MET_ROWS", 50)
+    rng = np.random.default_rng(3)
+    factors, asked = rng.standard_normal((300, 4)).astype(np.float32), rng.standard_normal((70, 4)).astype(np.float32)
+
+    def frame(x):
+        return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, features array<float>").coalesce(1)
+
+    lists = serving.all_products(frame(asked), frame(factors), 6)
+    found = {(r.id, r.place): (r.other, r.score) for r in lists.collect()}
+    scores = asked.astype(float) @ factors.astype(float).T
+    assert len(found) == 70 * 6
+    for i in range(70):
+        order = np.argsort(-scores[i])[:6]
+        assert [found[i, p][0] for p in range(1, 7)] == order.tolist()
+        assert np.allclose([found[i, p][1] for p in range(1, 7)], scores[i, order])
+    searched = {(r.id, r.place): r.other for r in serving.top_lists(frame(asked), frame(factors), 6, 32, 4).collect()}
+    assert searched == {k: v[0] for k, v in found.items()}
+    assert serving.all_products(frame(asked[:3]), frame(factors[:2]), 6).count() == 6
+    assert serving.all_products(frame(asked).limit(0), frame(factors), 6).count() == 0
