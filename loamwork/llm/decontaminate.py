@@ -3,8 +3,7 @@
 Documents are read as passages of ``PASSAGE`` words with TF-IDF weights over hashed words, counted over all documents. A
 randomised, distributed factorisation finds the leading directions of the passage-word matrix: every task multiplies its
 passages with a random matrix and adds up the product with its transpose; the sums meet in one small matrix, from which the
-directions follow (Nystrom). The directions are fitted on the documents with the smallest hashes, ``fit_passages`` passages about,
-all of them in a smaller corpus; every document is searched.
+directions follow (Nystrom). The directions are fitted on the passages of all documents, and every document is searched.
 
 Each benchmark item is a query of its own length, in steps of eight words, longer ones several of 64. Windows of that length
 of every document, from every eighth word, every fourth for short items, are projected as the items are, and whitened. Windows whose
@@ -150,8 +149,8 @@ def _products(idf: np.ndarray, seed: int):
     return step
 
 
-def factorise(words: DataFrame, seed: int = 7, fit_passages: int = 400_000) -> tuple[np.ndarray, np.ndarray]:
-    """(idf, directions): whitened leading directions, FEATURES x RANK. One pass over all words, one over those fitted on.
+def factorise(words: DataFrame, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
+    """(idf, directions): whitened leading directions, FEATURES x RANK. Two passes over all words.
 
     What reaches the driver is the model: FEATURES rows, summed on the cluster.
     """
@@ -164,10 +163,7 @@ def factorise(words: DataFrame, seed: int = 7, fit_passages: int = 400_000) -> t
     # Words of all passages weigh next to nothing, not nothing, so that no text is without a place.
     idf = (np.log((total + 1) / (df + 1)) + 1e-3).astype(np.float32)
     schema = "feature int, " + ", ".join(f"z{k} float" for k in range(RANK))
-    # Documents by a hash of their text: copies go in or stay out together.
-    share = min(1.0, fit_passages / max(total, 1))
-    chosen = words.where(F.pmod(F.xxhash64("tie"), F.lit(1_000_000)) < int(share * 1_000_000))
-    sums = chosen.mapInArrow(_products(idf, seed), schema).groupBy("feature").agg(*[F.sum(f"z{k}").cast("float").alias(f"z{k}") for k in range(RANK)])
+    sums = words.mapInArrow(_products(idf, seed), schema).groupBy("feature").agg(*[F.sum(f"z{k}").cast("float").alias(f"z{k}") for k in range(RANK)])
     found = sums.toArrow()
     z = np.zeros((FEATURES, RANK))
     if found.num_rows:
@@ -374,7 +370,7 @@ class _Items:
 
 def search(
     docs: DataFrame, items: DataFrame, min_cosine: float = 0.45, min_share: float = 0.6, sure_share: float = 0.8, max_items: int = 20_000,
-    fit_passages: int = 400_000, exact: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """(doc_id, tie, item_id, share) of all leaks: documents and items, with the largest share of the item found.
 
@@ -384,7 +380,7 @@ def search(
     listed = items.select("item_id", F.coalesce("text", F.lit("")).alias("text"), answer.alias("answer"))
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     words = stored(source.mapInArrow(_hashed, "doc_id bigint, tie bigint, words binary"), "word-hashes")
-    idf, directions = factorise(words, fit_passages=fit_passages)
+    idf, directions = factorise(words)
     parts = max(1, -(-listed.count() // max_items))
     found = None
     for part in range(parts):

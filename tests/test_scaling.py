@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from loamwork.learning import evaluate, recommend, serving, sweeps
+from loamwork.llm import decontaminate
 from loamwork.plans import QUERIES
 from loamwork.workspace import PARTITION_ROWS, TRAINING_PARTITIONS, dealt, spread
 
@@ -71,3 +72,10 @@ def test_all_products_in_blocks_equal_brute_force(spark, monkeypatch):
     assert searched == {k: v[0] for k, v in found.items()}
     assert serving.all_products(frame(asked[:3]), frame(factors[:2]), 6).count() == 6
     assert serving.all_products(frame(asked).limit(0), frame(factors), 6).count() == 0
+
+
+def test_directions_are_fitted_on_all_documents(spark):
+    rows = 100_000 * decontaminate.PASSAGE
+    docs = spark.range(9).select(F.col("id").alias("doc_id"), F.col("id").alias("tie"), F.expr(f"unhex(repeat(concat('0', id + 1, '000000'), {rows}))").alias("words"))
+    idf, directions = decontaminate.factorise(docs.repartition(3))
+    assert np.abs(directions[1:10]).sum(axis=1).min() > 0 and np.allclose(idf[1:10], idf[1])
