@@ -70,7 +70,7 @@ def _rest(point: Mapping) -> tuple:
 def tree_predictions(rows: DataFrame, nodes: DataFrame, depth: int, numbers: Mapping, grid: Sequence[Mapping], keep: Sequence[str]) -> DataFrame:
     """(kept columns, position, prediction) of every setting of a grid, routed through the deep trees at once."""
     depths = sorted({p["maxDepth"] for p in grid})
-    found = rules.routed(rows.select(*keep, "features"), nodes, depth, watch=depths)
+    found = rules.descended(rows.select(*keep, "features"), nodes, depth, watch=depths)
     cuts: dict[int, list] = {}
     for position, point in enumerate(grid):
         cuts.setdefault(numbers[_rest(point)], []).append((position, depths.index(point["maxDepth"])))

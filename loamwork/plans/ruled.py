@@ -37,8 +37,7 @@ def _fitted(t, kind, estimator):
     rows, key, stages = _inputs(t, kind)
     rows = derived.stored(t, rows, "ruled") if kind != "vectors" else rows
     train = rows.where(F.pmod(F.xxhash64(*key), F.lit(10)) < 7)
-    with held(train):
-        prepared = Pipeline(stages=stages).fit(train)
+    prepared = Pipeline(stages=stages).fit(train)
     with spread(prepared.transform(train).select("label", "features")) as points:
         model = estimator.fit(points)
     return prepared.transform(rows).select(*key, "part", "label", "features"), prepared.transform(train), key, model
@@ -48,8 +47,8 @@ def _agreement(t, kind, estimator, classes, mean=False):
     """Rows per part of the table, and how many of them the rules and the model score differently."""
     rows, _, key, model = _fitted(t, kind, estimator)
     nodes = derived.stored(t, rules.node_table(t.spark, model), "nodes")
-    ruled = rules.scored(rows, nodes, rules.depth_of(nodes), key, classes, mean)
-    both = model.transform(rows).select(*key, "part", "prediction").join(ruled, key, "left")
+    # A row's two predictions are compared where it is, without meeting again by key.
+    both = rules.predicted(model.transform(rows).select("part", "prediction", "features"), nodes, rules.depth_of(nodes), classes, mean)
     off = F.abs(F.col("prediction") - F.col("rule_prediction")) > 1e-9 * F.greatest(F.lit(1.0), F.abs("prediction"))
     return both.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(off, F.lit(True))).alias("n_differ"))
 
@@ -104,9 +103,10 @@ def recounted_leaves(t):
         model = estimators.tree_classifier().fit(points)
     nodes = derived.stored(t, rules.node_table(t.spark, model), "nodes")
     depth = rules.depth_of(nodes)
-    off = rules.recounted_classes(prepared, nodes, depth).where("n <> model_n").count()
-    reached = rules.routed(prepared.select("l_linestatus", "label", "features"), nodes, depth)
-    return reached.groupBy("l_linestatus", F.col("label").cast("int").alias("class")).agg(F.count(F.lit(1)).alias("n")).withColumn("as_counted", F.lit(off == 0))
+    # The lines are routed once; what they reach is a few rows a leaf.
+    reached = derived.stored(t, rules.class_counts(prepared, nodes, depth, ["l_linestatus"]), "reached")
+    off = rules.recounted_classes(prepared, nodes, depth, counts=reached).where("n <> model_n").count()
+    return reached.groupBy("l_linestatus", "class").agg(F.sum("n").alias("n")).withColumn("as_counted", F.lit(off == 0))
 
 
 @query("t14_recounted_means", f"WITH {derived.HOURLY_SQL} SELECT count(*) AS n, CAST(sum(cnt) AS BIGINT) AS total, true AS same_counts, true AS same_means FROM hours")

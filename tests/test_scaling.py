@@ -1,9 +1,11 @@
 """Queries and helpers whose work must not hang on one setting, one task or kept results."""
 
 import numpy as np
+import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from loamwork.learning import evaluate, recommend, serving, sweeps
+from loamwork.learning import estimators, evaluate, features, recommend, rules, serving, sweeps
 from loamwork.llm import decontaminate
 from loamwork.plans import QUERIES
 from loamwork.workspace import PARTITION_ROWS, TRAINING_PARTITIONS, dealt, spread
@@ -79,3 +81,38 @@ def test_directions_are_fitted_on_all_documents(spark):
     docs = spark.range(9).select(F.col("id").alias("doc_id"), F.col("id").alias("tie"), F.expr(f"unhex(repeat(concat('0', id + 1, '000000'), {rows}))").alias("words"))
     idf, directions = decontaminate.factorise(docs.repartition(3))
     assert np.abs(directions[1:10]).sum(axis=1).min() > 0 and np.allclose(idf[1:10], idf[1])
+
+
+@pytest.mark.parametrize("trees", [1, 3])
+def test_rows_descend_in_one_step_or_by_joins_alike(spark, monkeypatch, trees):
+    points = spark.range(600).select("id", (F.col("id") % 5).cast("double").alias("kind"), F.sin("id").alias("x"), (F.col("id") % 5 * 3 + F.col("id") % 2 + F.cos(F.col("id") * 2)).alias("label"))
+    points = Pipeline(stages=[features.assembler(["kind", "x"], "assembled"), features.category_slots(5)]).fit(points).transform(points).select("id", "label", "features").cache()
+    model = (estimators.tree_regressor(5, 16) if trees == 1 else estimators.forest_regressor(trees)).fit(points)
+    nodes = rules.node_table(spark, model).cache()
+    depth = rules.depth_of(nodes)
+    assert nodes.where("categories IS NOT NULL").count()
+
+    def places():
+        return sorted(map(tuple, rules.descended(points.select("id", "features"), nodes, depth, watch=[0, 2, 9]).drop("features").collect()))
+
+    at_once = places()
+    assert "Join" not in rules.descended(points, nodes, depth)._jdf.queryExecution().toString()
+    monkeypatch.setattr(rules, "HELD_NODES", 0)
+    assert len(at_once) == 600 * trees and at_once == places()
+    monkeypatch.undo()
+    # Rows that come twice stay two rows, each with its answer.
+    twice = model.transform(points.unionAll(points)).select("id", "prediction", "features")
+    found = rules.predicted(twice, nodes, depth, False, mean=trees > 1).collect()
+    assert len(found) == 1200 and all(r.prediction == pytest.approx(r.rule_prediction) for r in found)
+
+
+def test_leaves_are_recounted_from_one_routing(spark):
+    points = spark.range(400).select(F.concat(F.lit("g"), F.col("id") % 3).alias("part"), F.col("id").cast("double").alias("x"), (F.col("id") % 7 < 3).cast("double").alias("label"))
+    points = features.assembler(["x"]).transform(points).cache()
+    nodes = rules.node_table(spark, estimators.tree_classifier("gini", 6, 32).fit(points)).cache()
+    depth = rules.depth_of(nodes)
+    counts = rules.class_counts(points, nodes, depth, ["part"]).cache()
+    assert counts.agg(F.sum("n")).first()[0] == 400
+    found = rules.recounted_classes(points, nodes, depth, counts=counts)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rules.recounted_classes(points, nodes, depth).collect()))
+    assert found.where("n <> model_n").count() == 0
