@@ -116,3 +116,12 @@ def test_leaves_are_recounted_from_one_routing(spark):
     found = rules.recounted_classes(points, nodes, depth, counts=counts)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rules.recounted_classes(points, nodes, depth).collect()))
     assert found.where("n <> model_n").count() == 0
+
+
+def test_deep_sweeps_may_ask_for_few_partitions(spark):
+    points = spark.range(300).select(F.cos("id").alias("x"), F.sin(F.col("id") * 3).alias("y"), (F.col("id") % 3).cast("double").alias("label"))
+    points = features.assembler(["x", "y"]).transform(points).select("label", "features").cache()
+    assert dealt(points, least=1).rdd.getNumPartitions() == 1
+    grid = [{"impurity": "gini", "maxDepth": depth, "maxBins": 10} for depth in (2, 6)]
+    many, few = (sweeps.sweep_trees(estimators.tree_classifier(), points, points, evaluate.accuracy, grid, True, **most) for most in ({}, {"parallelism": 2, "least": 1}))
+    assert [t.metric for t in many.trials] == [t.metric for t in few.trials]
