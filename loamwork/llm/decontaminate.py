@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loamwork.llm.common import opened, query, sealed, stored, table
@@ -44,35 +43,59 @@ _FINE, _STEP, _SHORT = 4, 8, 24
 #: Bits of a word's hash that tell most words of no item apart.
 _MARK_BITS = 20
 _PAD = FEATURES
+#: Bytes that are hashed at a time, to whole words, and places of a word with a power of their own.
+_HASHED_BYTES, _WORD_BYTES = 1 << 16, 1 << 10
+#: Rows that are added up at a time: what they take stays in a core's cache.
+_CACHED = 1024
 
 
 class _Hasher:
-    """32-bit hashes of the words of texts."""
+    """32-bit hashes of the words of texts: bytes by random numbers, times powers by their place in the word, summed and mixed."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
+        self.values = np.random.default_rng(3).integers(0, 1 << 64, 256, np.uint64)
+        self.values[32] = 0
+        self.powers = np.multiply.accumulate(np.full(_WORD_BYTES, 0x9E3779B97F4A7C15, np.uint64))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        raw = (text or "").lower().encode()
-        if b"\xe2\x80" in raw:
-            raw = _PUNCTUATION.sub(b" ", raw)
-        words, known = raw.translate(_BLANKED).split(), self.known
-        if len(known) > 500_000:
-            known.clear()
-        try:
-            return np.fromiter(map(known.__getitem__, words), np.uint32, len(words))
-        except KeyError:
-            for w in set(words).difference(known):
-                known[w] = xxhash.xxh32_intdigest(w)
-            return np.fromiter(map(known.__getitem__, words), np.uint32, len(words))
+        return self.all([text])[0]
+
+    def all(self, texts: list[str | None]) -> list[np.ndarray]:
+        raw = [_blanked(t) for t in texts]
+        ends = np.cumsum([len(r) + 1 for r in raw])
+        # A blank before each text, and one for each byte that is in no word.
+        joined, hashes, starts, begin = b" " + b" ".join(raw), [], [], 0
+        while begin < len(joined):
+            end = joined.find(b" ", begin + _HASHED_BYTES)
+            end = len(joined) if end < 0 else end
+            part = np.frombuffer(joined, np.uint8, end - begin, begin)
+            held = part != 32
+            first = np.flatnonzero(held[1:] > held[:-1]) + 1
+            if len(first):
+                place = np.arange(first[0], len(part)) - np.repeat(first, np.diff(np.append(first, len(part))))
+                terms = self.values[part[first[0]:]] * self.powers[place & (_WORD_BYTES - 1)]
+                hashes.append(np.add.reduceat(terms, first - first[0]))
+                starts.append(first + begin)
+            begin = end
+        found = np.concatenate([np.empty(0, np.uint64), *hashes])
+        found = (found ^ found >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+        found = (found >> np.uint64(32)).astype(np.uint32)
+        return np.split(found, np.searchsorted(np.concatenate([np.empty(0, np.int64), *starts]), ends[:-1])) if raw else []
+
+
+def _blanked(text: str | None) -> bytes:
+    raw = (text or "").lower().encode()
+    if b"\xe2\x80" in raw:
+        raw = _PUNCTUATION.sub(b" ", raw)
+    return raw.translate(_BLANKED)
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hasher = _Hasher()
     for batch in batches:
-        for start in range(0, batch.num_rows, 1024):
-            part = batch.slice(start, 1024)
-            data = [hasher(t.as_py()).tobytes() for t in part.column("text")]
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            data = [words.tobytes() for words in hasher.all(part.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), pa.array(data, pa.binary())], names=["doc_id", "tie", "words"])
 
 
@@ -88,9 +111,13 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
                 start, total = i + 1, 0
 
 
-def _blocks(words: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features in rows of ``size``, padded at the end of each text, and the number of rows of each text."""
+def _blocks(words: list[np.ndarray], size: int, gap: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Features in rows of ``size``, padded at the end of each text, and the number of rows of each text.
+
+    With a ``gap`` at least so many rows of padding follow each text, and rows are even in number.
+    """
     rows = np.array([-(-len(w) // size) for w in words])
+    rows += (gap + 1 + rows) // 2 * 2 - rows if gap else 0
     out = np.full(int(rows.sum()) * size, _PAD, np.int32)
     at = 0
     for w, n in zip(words, rows):
@@ -119,7 +146,33 @@ def _random(seed: int) -> np.ndarray:
 
 
 def _padded(matrix: np.ndarray) -> np.ndarray:
-    return np.vstack([matrix, np.zeros((1, matrix.shape[1]), matrix.dtype)])
+    # Rows in one piece each, as they are taken by row.
+    return np.ascontiguousarray(np.vstack([matrix, np.zeros((1, matrix.shape[1]), matrix.dtype)]))
+
+
+def _row_sums(matrix: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """For every row of ``places``, the sum of the matrix's rows there."""
+    n, size = places.shape
+    out, ones = np.empty((n, 1, matrix.shape[1]), matrix.dtype), np.ones((1, size), matrix.dtype)
+    step = max(1, 2 * _CACHED // size)
+    for start in range(0, n, step):
+        part = places[start:start + step]
+        np.matmul(ones, matrix[part.ravel()].reshape(len(part), size, -1), out=out[start:start + step])
+    return out[:, 0]
+
+
+def _sums_by(ids: np.ndarray, rows: np.ndarray, places: np.ndarray, size: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct ids, sums of ``rows[places]`` by them) of sorted ids: eight at a time, then eight of those sums."""
+    while True:
+        first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        n = np.diff(np.append(first, len(ids)))
+        if len(first) == len(ids):
+            return ids, rows[places]
+        groups = -(-n // size)
+        slots = np.full(int(groups.sum()) * size, len(rows))
+        slots[np.repeat((np.cumsum(groups) - groups) * size - first, n) + np.arange(len(ids))] = places
+        rows = _row_sums(_padded(rows), slots.reshape(-1, size))
+        ids, places = np.repeat(ids[first], groups), np.arange(len(rows))
 
 
 def _products(idf: np.ndarray, seed: int):
@@ -130,14 +183,12 @@ def _products(idf: np.ndarray, seed: int):
         total = np.zeros((FEATURES + 1, RANK), np.float32)
         for _, words in _texts(batches):
             blocks = _blocks(words, PASSAGE)[0]
-            for start in range(0, len(blocks), 2048):
-                part = blocks[start:start + 2048]
-                y = weighted[part.ravel()].reshape(len(part), PASSAGE, RANK).sum(axis=1)
+            for start in range(0, len(blocks), 8192):
+                part = blocks[start:start + 8192]
                 flat = part.ravel().astype(np.uint16)
                 order = np.argsort(flat, kind="stable")
-                ids = flat[order]
-                starts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-                total[ids[starts]] += np.add.reduceat(y[order // PASSAGE], starts, axis=0)
+                ids, sums = _sums_by(flat[order], _row_sums(weighted, part), order // PASSAGE)
+                total[ids] += sums
         total[:FEATURES] *= idf[:, None]
         rows = np.flatnonzero(np.abs(total[:FEATURES]).sum(axis=1))
         for start in range(0, len(rows), 2048):
@@ -257,27 +308,32 @@ class _Items:
 
     def _near(self, words: list[np.ndarray], min_cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, item, start) of the windows near a passage of an item; ``start`` is a place in the text."""
-        blocks, rows = _blocks(words, _FINE)
+        # Windows end with their text, whose last blocks are empty.
+        most = max(self.vectors) // _FINE
+        blocks, rows = _blocks(words, _FINE, most - 1)
         out: list[tuple] = []
         if self.weighted.shape[1]:
-            sums = np.zeros((len(blocks) + 1, self.weighted.shape[1]), np.float32)
-            for start in range(0, len(blocks), 16384):
-                part = blocks[start:start + 16384]
-                sums[start + 1:start + 1 + len(part)] = self.weighted[part.ravel()].reshape(len(part), _FINE, -1).sum(axis=1)
-            np.cumsum(sums, axis=0, out=sums)
-            ends = np.cumsum(rows)
             owner = np.repeat(np.arange(len(words)), rows)
-            firsts = np.arange(len(blocks)) - (ends - rows)[owner]
-            for size, queries in self.vectors.items():
-                # Windows end with their text. Long ones start at every second block.
-                at = np.arange(len(blocks)) if size <= _SHORT else np.flatnonzero(firsts % (_STEP // _FINE) == 0)
-                numbers = np.array(self.owner[size])
-                for start in range(0, len(at), 4096):
-                    begin = at[start:start + 4096]
-                    window = sums[np.minimum(begin + size // _FINE, ends[owner[begin]])] - sums[begin]
+            firsts = np.arange(len(blocks)) - (np.cumsum(rows) - rows)[owner]
+            for start in range(0, len(blocks) - most + 1, _CACHED):
+                # Sums of 1, 2, 4, ... blocks, of which windows are put together.
+                runs = {1: _row_sums(self.weighted, blocks[start:start + _CACHED + most - 1])}
+                for n in (2, 4, 8, 16):
+                    if n <= most:
+                        runs[n] = runs[n // 2][:-(n // 2)] + runs[n // 2][n // 2:]
+                count = len(runs[1]) - most + 1
+                for size, queries in self.vectors.items():
+                    # Long windows start at every second block.
+                    step = 1 if size <= _SHORT else _STEP // _FINE
+                    window, at = None, 0
+                    for n in runs:
+                        if size // _FINE & n:
+                            part = runs[n][at:at + count:step]
+                            window, at = part if window is None else window + part, at + n
                     bound = min_cosine * np.sqrt(np.einsum("ij,ij->i", window, window))
-                    which, query = np.nonzero(window @ queries.T >= np.maximum(bound, 1e-9)[:, None])
-                    out.append((owner[begin[which]], numbers[query], firsts[begin[which]] * _FINE))
+                    which, query = np.divmod(np.flatnonzero(window @ queries.T >= np.maximum(bound, 1e-9)[:, None]), len(queries))
+                    begin = start + which * step
+                    out.append((owner[begin], np.array(self.owner[size])[query], firsts[begin] * _FINE))
         none = np.empty(0, np.int64)
         return tuple(np.concatenate([none, *part]) for part in zip(*out)) if out else (none, none, none)
 
@@ -287,23 +343,24 @@ class _Items:
         # Words as numbers in the items' vocabulary; the last number is for all others, and for the gaps that are left between texts.
         gap = 2 * _STEP + max(len(row["words"]) * 5 // 4 for row in self.rows) + 1
         firsts = np.cumsum(lengths + gap) - lengths
-        codes = np.full(int(firsts[-1] + lengths[-1]) + gap, len(self.vocabulary), np.int32)
+        codes = np.full(int(firsts[-1] + lengths[-1]) + gap, len(self.vocabulary))
         at = np.flatnonzero(self.marked[flat & ((1 << _MARK_BITS) - 1)])
         slot = np.minimum(np.searchsorted(self.vocabulary, flat[at]), len(self.vocabulary) - 1)
         shift = np.repeat(firsts - (np.cumsum(lengths) - lengths), lengths)
         codes[at + shift[at]] = np.where(self.vocabulary[slot] == flat[at], slot, len(self.vocabulary))
         order = np.argsort(item, kind="stable")
         edges = np.searchsorted(item[order], np.arange(len(self.rows) + 1))
-        known, kept = np.zeros(len(self.vocabulary) + 1, np.uint8), []
+        known, kept = np.zeros(len(self.vocabulary) + 1, np.float32), []
         for number in np.flatnonzero(np.diff(edges)).tolist():
             rows = order[edges[number]:edges[number + 1]]
             known[self.codes[number]] = 1
             # A leak begins within half a step of a window, and is at most a quarter longer than the item.
-            reach = np.arange(-_STEP, len(self.rows[number]["words"]) * 5 // 4 + _STEP, dtype=np.int32)
-            place = (firsts[text[rows]] + start[rows]).astype(np.int32)
-            for begin in range(0, len(rows), 8192):
-                held = known[codes[place[begin:begin + 8192, None] + reach]].sum(axis=1, dtype=np.int32)
-                kept.append(rows[begin:begin + 8192][held >= self.least[number]])
+            width = len(self.rows[number]["words"]) * 5 // 4 + 2 * _STEP
+            around, ones = np.lib.stride_tricks.sliding_window_view(codes, width), np.ones(width, np.float32)
+            place = firsts[text[rows]] + start[rows] - _STEP
+            for begin in range(0, len(rows), _CACHED):
+                held = known[around[place[begin:begin + _CACHED]]] @ ones
+                kept.append(rows[begin:begin + _CACHED][held >= self.least[number]])
             known[self.codes[number]] = 0
         kept = np.concatenate([np.empty(0, np.int64), *kept])
         return text[kept], item[kept], start[kept]

@@ -247,6 +247,33 @@ def test_recall_of_the_search(spark):
         assert len(own & set(found)) >= (0.97 if rate == 0 else 0.9) * len(own), rate
 
 
+def test_words_are_hashed_alike_wherever_they_stand():
+    hasher = decontaminate._Hasher()
+    texts = ["One two, ONE\u2019two", None, "", "  one ", "three " * 30_000 + "one", "é_1 \u2026 two"]
+    one, two, three = (hasher(w)[0] for w in ("one", "two", "three"))
+    found = hasher.all(texts)
+    assert [w.tolist() for w in found] == [hasher(t).tolist() for t in texts]
+    assert found[0].tolist() == [one, two, one, two] and found[3].tolist() == [one]
+    assert found[4].tolist() == [three] * 30_000 + [one] and len({one, two, three, *hasher("eno owt é_1")}) == 6
+    assert len(found[1]) == len(found[2]) == 0 and len(found[5]) == 2
+    # Hashes tell a million words apart about as well as random numbers of 32 bits do.
+    assert 1_000_000 - len(np.unique(hasher(" ".join(map(str, range(1_000_000)))))) < 200
+
+
+def test_sums_of_rows():
+    """Rows are taken one by one, so each must lie in one piece, also where the directions come by column."""
+    rng = np.random.default_rng(2)
+    matrix = decontaminate._padded(np.asfortranarray(rng.integers(0, 9, (50, 7)).astype(np.float32)))
+    assert matrix.flags.c_contiguous and not matrix[50].any()
+    places = rng.integers(0, 51, (5000, 3))
+    assert (decontaminate._row_sums(matrix, places) == matrix[places].sum(axis=1)).all()
+    ids = np.sort(rng.integers(0, 40, 3000) ** 2)
+    at, want = rng.integers(0, 51, 3000), np.zeros((1600, 7), np.float32)
+    np.add.at(want, ids, matrix[at])
+    found, sums = decontaminate._sums_by(ids, matrix, at)
+    assert found.tolist() == np.unique(ids).tolist() and (sums == want[found]).all()
+
+
 def test_few_pairs_are_checked(spark):
     """Fewer than one pair of document and item in a hundred reaches the word by word check."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
