@@ -219,9 +219,10 @@ def holdout_binary(t):
 
 @query("g05_holdout_multiclass")
 def holdout_multiclass(t):
-    tree = estimators.tree_classifier("gini")
+    tree = estimators.gathered_tree("gini")
     grid = tune.param_grid(tree, impurity=["gini", "entropy"], maxDepth=[10, 15, 25], maxBins=[30, 40, 50])
-    tuner = tune.holdout_tuner([], tree, MulticlassClassificationEvaluator(metricName="accuracy"), grid)
+    # Fits of few tasks each, side by side.
+    tuner = tune.holdout_tuner([], tree, MulticlassClassificationEvaluator(metricName="accuracy"), grid, parallelism=12)
     with spread(derived.vector_splits(t)["train"]) as train:
         return tune.tuning_table(t.spark, tuner.fit(train).stages[-1])
 

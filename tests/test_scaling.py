@@ -3,9 +3,11 @@
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
-from loamwork.learning import estimators, evaluate, features, recommend, rules, serving, sweeps
+from loamwork.learning import estimators, evaluate, features, recommend, rules, serving, sweeps, tune
 from loamwork.llm import decontaminate
 from loamwork.plans import QUERIES
 from loamwork.workspace import PARTITION_ROWS, TRAINING_PARTITIONS, dealt, spread
@@ -125,3 +127,24 @@ def test_deep_sweeps_may_ask_for_few_partitions(spark):
     grid = [{"impurity": "gini", "maxDepth": depth, "maxBins": 10} for depth in (2, 6)]
     many, few = (sweeps.sweep_trees(estimators.tree_classifier(), points, points, evaluate.accuracy, grid, True, **most) for most in ({}, {"parallelism": 2, "least": 1}))
     assert [t.metric for t in many.trials] == [t.metric for t in few.trials]
+
+
+def test_gathered_trees_are_grown_over_few_partitions(spark, monkeypatch):
+    """One partition of counts instead of sixteen, with the held-out rows and the metrics that sixteen partitions gave."""
+    points = spark.range(400).select(F.cos("id").alias("x"), F.sin(F.col("id") * 3).alias("y"), (F.col("id") % 3).cast("double").alias("label"))
+    points = features.assembler(["x", "y"]).transform(points).select("label", "features")
+    seen, fit = [], DecisionTreeClassifier._fit
+
+    def counted(self, dataset):
+        seen.append(dataset.rdd.getNumPartitions())
+        return fit(self, dataset)
+
+    monkeypatch.setattr(DecisionTreeClassifier, "_fit", counted)
+    with spread(points) as rows:
+        found = []
+        for tree in (estimators.tree_classifier("gini"), estimators.gathered_tree("gini")):
+            grid = tune.param_grid(tree, maxDepth=[3, 8], maxBins=[10, 20])
+            found.append(tune.holdout_tuner([], tree, MulticlassClassificationEvaluator(metricName="accuracy"), grid).fit(rows).stages[-1])
+    assert seen == [16] * 5 + [1] * 5
+    assert found[0].validationMetrics == found[1].validationMetrics
+    assert found[0].bestModel.toDebugString.split("\n")[1:] == found[1].bestModel.toDebugString.split("\n")[1:]
