@@ -148,3 +148,14 @@ def test_gathered_trees_are_grown_over_few_partitions(spark, monkeypatch):
     assert seen == [16] * 5 + [1] * 5
     assert found[0].validationMetrics == found[1].validationMetrics
     assert found[0].bestModel.toDebugString.split("\n")[1:] == found[1].bestModel.toDebugString.split("\n")[1:]
+
+
+def test_blocks_of_a_factoriser_follow_from_the_ratings(spark, monkeypatch):
+    ratings = spark.createDataFrame([(u, i, float(1 + (u * i) % 5)) for u in range(40) for i in range(20) if (u + i) % 3], "user_id int, item_id int, rating float")
+    rows = ratings.count()
+    assert recommend.rating_blocks(ratings) == recommend.BLOCKS
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", rows // 13)
+    found, named, least = (
+        {r.id: r.features for r in recommend.train(ratings, rank=3, iterations=2, **blocks).userFactors.collect()} for blocks in ({}, {"blocks": -(-rows // (rows // 13))}, {"blocks": recommend.BLOCKS})
+    )
+    assert len(found) == 40 and found == named != least
