@@ -159,3 +159,32 @@ def test_blocks_of_a_factoriser_follow_from_the_ratings(spark, monkeypatch):
         {r.id: r.features for r in recommend.train(ratings, rank=3, iterations=2, **blocks).userFactors.collect()} for blocks in ({}, {"blocks": -(-rows // (rows // 13))}, {"blocks": recommend.BLOCKS})
     )
     assert len(found) == 40 and found == named != least
+
+
+def test_no_product_in_reach_is_left_out():
+    rng = np.random.default_rng(5)
+    own, met = rng.standard_normal((30, 6)).astype(np.float32), rng.standard_normal((400, 6)).astype(np.float32)
+    # Products that differ by less than floats can tell, and factors whose products are no floats.
+    met[200:300] = met[100] * (1 + 1e-7 * np.arange(100, dtype=np.float32)[:, None])
+    for scale in (1.0, 1e-25, 1e25):
+        asked, others = own * np.float32(scale), met * np.float32(scale)
+        exact = asked.astype(float) @ others.astype(float).T
+        row, column = serving.reached(asked, others, np.full(30, -np.inf), 10)
+        worst = np.sort(exact, axis=1)[:, -10]
+        assert set(zip(*np.nonzero(exact >= worst[:, None]))) <= set(zip(row, column))
+        again = set(zip(*serving.reached(asked, others, worst, 0)))
+        assert set(zip(*np.nonzero(exact >= worst[:, None]))) <= again
+        assert scale != 1.0 or len(again) < 30 * 400 / 4
+
+
+def test_all_products_in_slices_of_a_block(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    factors, asked = rng.integers(-2, 3, (500, 3)).astype(np.float32), rng.integers(-2, 3, (60, 3)).astype(np.float32)
+    frame = lambda x: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, features array<float>").coalesce(1)
+    monkeypatch.setattr(serving, "MET_ROWS", 100)
+    monkeypatch.setattr(serving, "SLICE_ROWS", 16)
+    # Equal products go by id, whatever the slice and the order of blocks.
+    found = {(r.id, r.place): (r.other, r.score) for r in serving.all_products(frame(asked), frame(factors), 7).collect()}
+    scores = asked.astype(float) @ factors.astype(float).T
+    order = [sorted(range(500), key=lambda j: (-scores[i, j], j))[:7] for i in range(60)]
+    assert found == {(i, p + 1): (j, scores[i, j]) for i in range(60) for p, j in enumerate(order[i])}
